@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, token_files
 from .tables import read
 
 
@@ -19,6 +19,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), vocabulary())
 
 
-QUERIES = {"op2_bpe": op2_bpe}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op9_token_files": op9_token_files}
 
 ORACLE_SQL: dict[str, str] = {}

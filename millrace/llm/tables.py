@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +21,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once a context, in case that it isn't installed on them."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    top = Path(__file__).resolve().parent.parent
+    sources = {str(p.relative_to(top.parent)): p.read_bytes() for p in sorted(top.rglob("*.py"))}
+    digest = hashlib.sha256(repr(sources).encode()).hexdigest()[:12]
+    with zipfile.ZipFile(path := f"{tempfile.mkdtemp()}/millrace-{digest}.zip", "w") as z:
+        for name, data in sources.items():
+            z.writestr(name, data)
+    context.addPyFile(path)
+    context._millrace_shipped = True
+
+
 class Scratch:
     """Parquet tables under a folder of their own; each cuts lineage and survives lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -39,4 +58,5 @@ class Scratch:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
