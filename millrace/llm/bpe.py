@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: Fixed value: the published pre-tokenizer pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -172,7 +173,7 @@ def encode_documents(docs: DataFrame, vocab: str, text: str = "text", ids: str =
     Other columns, nulls in them included, pass through; a null text has no ids. An empty table gives
     an empty table. Rows that repeat are encoded each.
     """
-    schema = docs.drop(ids).schema.add(ids, "array<int>")
+    schema = docs.drop(ids).schema.add(ids, ArrayType(IntegerType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocab)

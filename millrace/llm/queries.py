@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_files
+from . import bpe, mixing, token_files
 from .tables import read
 
 
@@ -23,6 +23,31 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"), vocabulary())
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op9_token_files": op9_token_files}
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decisions(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
-ORACLE_SQL: dict[str, str] = {}
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight FROM s),
+f AS (SELECT *, 3 * source_size * (6 // weight) AS full_at, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weight) OVER () AS BIGINT) AS all_weight FROM w),
+g AS (SELECT *, CAST(coalesce(sum(3 * source_size) OVER o, 0) AS BIGINT) AS filled, CAST(coalesce(sum(weight) OVER o, 0) AS BIGINT) AS gone
+      FROM f WINDOW o AS (ORDER BY full_at, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT *, (total - filled) * 6 >= full_at * (all_weight - gone) AS is_full, CAST(total - filled AS DOUBLE) / CAST(all_weight - gone AS DOUBLE) AS share FROM g),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE)
+             ELSE weight * (SELECT arg_min(share, gone) FROM h WHERE NOT is_full) END AS target FROM h),
+r AS (SELECT d.*, t.source_size, t.target,
+             CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size * 67108864) AS BIGINT) ELSE 0 END AS rate,
+             coalesce(CAST('0x' || substr(md5(d.source), 1, 8) AS BIGINT), 2147483648) % 67108864 AS off,
+             row_number() OVER (PARTITION BY d.source ORDER BY size, md5(CAST(doc_id AS VARCHAR)), doc_id) AS place
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * (((place * rate + off) >> 26) - (((place - 1) * rate + off) >> 26)) AS taken,
+       CAST(((place * rate + off) >> 26) - (((place - 1) * rate + off) >> 26) AS INTEGER) AS copies, source
+FROM r
+"""
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op9_token_files": op9_token_files}
+
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
