@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, token_files
+from . import ann_search, bpe, kd_search, mixing, token_files
 from .tables import read
 
 
@@ -48,6 +48,30 @@ FROM r
 """
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op9_token_files": op9_token_files}
+def op3_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(read(spark, sf_dir, "embeddings"))
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
+
+OP3_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.search(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    "op2_bpe": op2_bpe,
+    "op3_kd_search": op3_kd_search,
+    "op4_mixing": op4_mixing,
+    "op5_ann_search": op5_ann_search,
+    "op9_token_files": op9_token_files,
+}
+
+ORACLE_SQL: dict[str, str] = {"op3_kd_search": OP3_SQL, "op4_mixing": OP4_SQL}

@@ -23,6 +23,9 @@ _BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE[_SPACE] = 0
+#: For ``words(..., plain=True)``: of ASCII, only letters and digits are part of a word.
+_OTHER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+_PLAIN_BYTE = np.where(_OTHER, np.uint64(0), _BYTE)
 _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 
@@ -47,8 +50,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _block(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    space = _SPACE[b]
+def _block(b: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    space = _OTHER[b] if plain else _SPACE[b]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
@@ -60,24 +63,24 @@ def _block(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             if e - s > BLOCK:
                 out[i] = xxhash.xxh3_64_intdigest(bytes(b[s:e]).lower())
             else:
-                out[i] = _block(b[s:e])[2][0]
+                out[i] = _block(b[s:e], plain)[2][0]
         return starts, ends, out
-    v = _BYTE[b]
+    v = _PLAIN_BYTE[b] if plain else _BYTE[b]
     v *= _POW[: len(b)]
     return starts, ends, mixed(np.add.reduceat(v, starts) * _INV[starts])
 
 
-def words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(b: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte offsets of the start and end of each word of a UTF-8 text, and the words' hashes."""
     if len(b) <= 2 * BLOCK:
-        return _block(b)
+        return _block(b, plain)
     out, at = [], 0
     while at < len(b):
         to = min(at + BLOCK, len(b))
         while to < len(b) and not _SPACE[b[to]]:  # at most one word beyond the block
             gap = np.flatnonzero(_SPACE[b[to : to + BLOCK]])
             to = to + int(gap[0]) if len(gap) else min(to + BLOCK, len(b))
-        s, e, h = _block(b[at:to])
+        s, e, h = _block(b[at:to], plain)
         out.append((s + at, e + at, h))
         at = to
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
