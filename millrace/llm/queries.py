@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann_search, bpe, kd_search, mixing, token_files
+from . import ann_search, bpe, kd_search, mixing, quality, token_files, toxicity
 from .tables import read
 
 
@@ -66,11 +66,21 @@ def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_search.search(read(spark, sf_dir, "embeddings"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_kd_search": op3_kd_search,
     "op4_mixing": op4_mixing,
     "op5_ann_search": op5_ann_search,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_token_files": op9_token_files,
 }
 
