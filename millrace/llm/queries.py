@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann_search, bpe, kd_search, mixing, quality, token_files, toxicity
+from . import ann_search, bpe, html_text, kd_search, mixing, quality, token_files, toxicity
 from .tables import read
 
 
@@ -74,6 +74,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_kd_search": op3_kd_search,
@@ -82,6 +86,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op9_token_files": op9_token_files,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_kd_search": OP3_SQL, "op4_mixing": OP4_SQL}
