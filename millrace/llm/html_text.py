@@ -31,7 +31,7 @@ from .tables import ship
 TEXTLESS = frozenset("script style noscript template iframe object svg math textarea select option canvas audio video head title".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i img kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br ins del input".split())
+INLINE = frozenset("script style noscript template a abbr acronym b bdi bdo big cite code data dfn em font i img kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br ins del input".split())
 #: Elements that the start of a block ends when they are still open.
 ENDED_BY_BLOCK = frozenset(["p"])
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann_search, bpe, html_text, kd_search, mixing, quality, token_files, toxicity
+from . import ann_search, bpe, html_text, jaccard_join, kd_search, mixing, quality, token_files, toxicity
 from .tables import read
 
 
@@ -78,6 +78,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(read(spark, sf_dir, "pages"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_kd_search": op3_kd_search,
@@ -85,6 +89,7 @@ QUERIES = {
     "op5_ann_search": op5_ann_search,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
 }
