@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann_search, bpe, html_text, jaccard_join, kd_search, mixing, quality, token_files, toxicity
+from . import ann_search, bpe, html_text, jaccard_join, kd_search, mixing, quality, suffix_dedup, token_files, toxicity
 from .tables import read
 
 
@@ -15,6 +15,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -83,6 +87,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
     "op3_kd_search": op3_kd_search,
     "op4_mixing": op4_mixing,
