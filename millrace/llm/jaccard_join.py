@@ -195,7 +195,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     sketch = spark.sparkContext.broadcast(_sketch(measured, scratch))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = lambda x: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x[0]).view(np.int64)), pa.array(x[1], pa.binary()), pa.array(np.concatenate(x[2]))], names=["token", "node", "size_place"])
+        pack = lambda x: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x[0]).view(np.int64)), pa.array(x[1], pa.binary()), pa.array(np.concatenate(x[2]))], names=["token", "node", "place"])
         for batch in batches:
             got: tuple[list, list, list] = ([], [], [])
             known = batch.column(0).is_valid().to_pylist()
@@ -205,18 +205,20 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
                     p = rare_first(s, sketch.value, prefix_length(len(s), percent))
                     got[0].append(p)
                     got[1].extend([_fingerprint(s)] * len(p))
-                    got[2].append(np.arange(len(p)) | (len(s) << 32))
+                    got[2].append(np.arange(len(p), dtype=np.int32))
                 if len(got[1]) > 100_000:
                     yield pack(got)
                     got = ([], [], [])
             if got[1]:
                 yield pack(got)
 
-    postings = scratch.keep(rows.mapInArrow(prefixes, "token long, node binary, size_place long"), "postings")
+    postings = scratch.keep(rows.mapInArrow(prefixes, "token long, node binary, place int"), "postings")
     shared = postings.groupBy("token").agg(F.min(F.xxhash64("node")).alias("a"), F.max(F.xxhash64("node")).alias("b")).where("a <> b").select(F.col("token").alias("t"))
     postings = postings.join(shared, F.col("token") == F.col("t"), "left_semi").distinct()
-    postings = scratch.keep(postings.select("token", "node", F.expr("cast(shiftright(size_place, 32) as int)").alias("n"), F.expr("cast(size_place & 4294967295 as int)").alias("place")), "shared")
+    postings = scratch.keep(postings, "bare")
     scratch.drop("postings")
+    size = measured.where("node is not null and doc_id is not null").groupBy("node").agg(F.max("n").cast("int").alias("n"))
+    postings = scratch.keep(postings.join(size, "node").select("token", "node", "n", "place"), "shared")
     blocks = scratch.keep(postings.groupBy("token").agg(F.count("*").alias("nodes"), F.sum("n").alias("grams")), "blocks")
     small = postings.join(blocks.where(F.col("nodes") <= SMALL).select("token"), "token", "left_semi")
     large = postings.join(blocks.where(F.col("nodes") > SMALL), "token")
@@ -259,7 +261,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
         within = dealt.join(sets, "node").groupBy("token", "p", "q").applyInArrow(_block_links(sketch, percent), "u binary, v binary")
         found = found.union(scratch.keep(within, "within"))
     roots = scratch.keep(components(found, scratch), "roots")
-    scratch.drop("shared", "blocks", "pairs", "sets", "found", "within")
+    scratch.drop("bare", "shared", "blocks", "pairs", "sets", "found", "within")
 
     documents = measured.where("chunk is null").select("doc_id", "n", "node")
     least = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
