@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 _TRIMMED = "".join(map(chr, range(1, 33)))
 
 
+def bound(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, however often it is used there."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def present(v: Column) -> Column:
     """Null for an empty string."""
     return F.when(v != "", v)
@@ -75,69 +80,75 @@ _DASH, _SLASH = r"^(\d{4})-(\d{2})-(\d{2})", r"^(\d{4})/(\d{2})/(\d{2})"
 
 def to_date(v: Column) -> Column:
     """yyyy-MM-dd or yyyy/MM/dd; anything after a space at position 10 is dropped."""
-    t = _trim(v)
-    t = F.when(F.substring(t, 11, 1) == " ", F.substring(t, 1, 10)).otherwise(t)
-    return F.coalesce(_day(t, _DASH + "$"), _day(t, _SLASH + "$"))
-
-
-_CLOCK = r"(\d{2}):(\d{2}):(\d{2})"
-
-
-def _stamp(day: Column, v: Column, pattern: str, first: int, seconds: bool = True, zone: Column | None = None) -> Column:
-    """A day with the clock time of the groups from ``first``; 24:00:00 is the next day's midnight."""
-    h, m = _number(v, pattern, first), _number(v, pattern, first + 1)
-    s = F.regexp_extract(v, pattern, first + 2).try_cast("decimal(8,6)") if seconds else F.lit(0).cast("decimal(8,6)")
-    text = F.rpad(F.regexp_extract(v, pattern, first + 2), 9, "0") if seconds else None
-    if seconds:
-        #: At most six digits of a fraction count; more are cut, not rounded.
-        s = F.substring(text, 1, 9).try_cast("decimal(8,6)")
-    end = (h == 24) & (m == 0) & (s == 0)
-    sound = v.rlike(pattern) & day.isNotNull() & (h.between(0, 23) | end) & m.between(0, 59) & (s >= 0) & (s < 60)
-    d = F.when(sound, F.when(end, F.date_add(day, 1)).otherwise(day))
-    parts = [F.year(d), F.month(d), F.dayofmonth(d), F.when(end, 0).otherwise(h), m, s]
-    args = [F.when(sound, p) for p in parts]
-    return F.make_timestamp_ntz(*args) if zone is None else F.make_timestamp(*args, zone)
-
-
-_SECOND = r"(\d{2}(?:\.\d+)?)"
-
-
-def _pieces(t: Column, zone: Column | None = None) -> Column:
-    """The accepted forms, told apart by length and separator; anything else is null."""
-    n = F.length(t)
-    full = r" (\d{2}):(\d{2}):" + _SECOND + "$"
-    epoch = F.lit("1970-01-01").cast("date")
-    clock = r"^(\d{2}):(\d{2}):" + _SECOND + "$"
-    dashed, slashed = _day(F.substring(t, 1, 10), _DASH + "$"), _day(F.substring(t, 1, 10), _SLASH + "$")
-    midnight = lambda d: _stamp(d, F.lit("00:00:00"), clock, 1, zone=zone)
-    with_seconds = lambda d: _stamp(d, t, r"^.{10}" + full, 1, zone=zone)
-    return (
-        F.when(n.isin(29, 26, 23) & (F.substring(t, 20, 1) == "."), with_seconds(dashed))
-        .when((n == 19) & (F.substring(t, 5, 1) == "-"), with_seconds(dashed))
-        .when((n == 19) & (F.substring(t, 5, 1) == "/"), with_seconds(slashed))
-        .when(n == 16, _stamp(dashed, t, r"^.{10} (\d{2}):(\d{2})$", 1, seconds=False, zone=zone))
-        .when((n == 10) & (F.substring(t, 5, 1) == "-"), midnight(dashed))
-        .when((n == 10) & (F.substring(t, 5, 1) == "/"), midnight(slashed))
-        .when(n.isin(8, 12, 15) & (F.substring(t, 3, 1) == ":"), _stamp(epoch, t, clock, 1, zone=zone))
+    head = lambda t: F.when(F.substring(t, 11, 1) == " ", F.substring(t, 1, 10)).otherwise(t)
+    return bound(bound(_trim(v), head), lambda t: F.coalesce(_day(t, _DASH + "$"), _day(t, _SLASH + "$")))
+
+
+def _canonical(t: Column) -> Column:
+    """The accepted forms, told apart by length and separator, as ``yyyy-MM-dd HH:mm:ss.fraction``; else null."""
+    n, dash, slash, point = F.length(t), F.substring(t, 5, 1) == "-", t.rlike(_SLASH), F.substring(t, 20, 1) == "."
+    dashed = F.translate(t, "/", "-")
+    epoch, clock = F.lit("1970-01-01 "), F.substring(t, 3, 1) == ":"
+    canon = (
+        F.when(n.isin(29, 26, 23) & point, t)
+        .when((n == 19) & dash, F.concat(t, F.lit(".0")))
+        .when((n == 19) & slash, F.concat(dashed, F.lit(".0")))
+        .when(n == 16, F.concat(t, F.lit(":00.0")))
+        .when((n == 10) & dash, F.concat(t, F.lit(" 00:00:00.0")))
+        .when((n == 10) & slash, F.concat(dashed, F.lit(" 00:00:00.0")))
+        .when((n == 8) & clock, F.concat(epoch, t, F.lit(".0")))
+        .when(n.isin(12, 15) & clock, F.concat(epoch, t))
     )
+    return F.when(canon.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d+$"), canon)
+
+
+def _instant(c: Column, zone: Column | None = None) -> Column:
+    """A canonical text's time. Days 29 to 31 beyond the month's end become its last day, 24:00:00 is the
+    next midnight, and of a fraction six digits count."""
+
+
+    def parts(c: Column) -> Column:
+        part = lambda at, n: F.substring(c, at, n).try_cast("int")
+        s = F.concat(F.substring(c, 18, 3), F.substring(F.rpad(F.substring(c, 21, 9), 6, "0"), 1, 6)).try_cast("decimal(8,6)")
+        return F.struct(part(1, 4).alias("y"), part(6, 2).alias("mo"), part(9, 2).alias("d"), part(12, 2).alias("h"), part(15, 2).alias("mi"), s.alias("s"))
+
+    def dated(p: Column) -> Column:
+        end = (p["h"] == 24) & (p["mi"] == 0) & (p["s"] == 0)
+        sound = (p["y"] >= 1) & p["mo"].between(1, 12) & p["d"].between(1, 31) & (p["h"].between(0, 23) | end) & p["mi"].between(0, 59) & (p["s"] < 60)
+        first = F.when(sound, F.make_date(p["y"], p["mo"], F.lit(1)))
+        day = bound(first, lambda f: F.date_add(f, F.least(p["d"], F.dayofmonth(F.last_day(f))) - 1 + F.when(end, 1).otherwise(0)))
+        return F.struct(day.alias("day"), F.when(end, 0).otherwise(p["h"]).alias("h"), p["mi"].alias("mi"), p["s"].alias("s"))
+
+    def made(x: Column) -> Column:
+        args = [F.when(x["day"].isNotNull(), a) for a in (F.year(x["day"]), F.month(x["day"]), F.dayofmonth(x["day"]), x["h"], x["mi"], x["s"])]
+        return F.make_timestamp_ntz(*args) if zone is None else F.make_timestamp(*args, zone)
+
+    return bound(bound(bound(c, parts), dated), made)
 
 
 def to_timestamp(v: Column) -> Column:
-    """A time without zone, by length and separator (see ``_pieces``)."""
-    return _pieces(_trim(v))
+    """A time without zone, by length and separator (see ``_canonical``)."""
+    return _instant(bound(_trim(v), _canonical))
 
 
 def to_timestamptz(v: Column) -> Column:
     """An instant: ``yyyy-MM-dd HH:mm:ss[.SSS|.SSSSSS|.SSSSSSSSS] +HH:MM``, or any form without zone as UTC."""
-    t = _trim(v)
     zoned = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{3}|\.\d{6}|\.\d{9})?) ([+-](?:0\d|1[0-8]):[0-5]\d|Z)$"
-    zone = F.when(t.rlike(zoned), F.regexp_replace(F.regexp_extract(t, zoned, 2), "^Z$", "+00:00"))
-    return F.when(zone.isNotNull(), _pieces(F.regexp_extract(t, zoned, 1), zone)).otherwise(_pieces(t, F.lit("UTC")))
+
+    def split(t: Column) -> Column:
+        has = t.rlike(zoned)
+        zone = F.when(has, F.regexp_replace(F.regexp_extract(t, zoned, 2), "^Z$", "+00:00")).otherwise("UTC")
+        return F.struct(F.when(has, F.regexp_extract(t, zoned, 1)).otherwise(t).alias("t"), zone.alias("zone"))
+
+    return bound(bound(_trim(v), split), lambda x: _instant(bound(x["t"], _canonical), x["zone"]))
 
 
 def to_time(v: Column) -> Column:
     """HH:mm:ss.SSSSSS as a string: the clock of a date and time, or a clock alone, without its zone."""
-    t = _trim(v)
+    return bound(_trim(v), _clock)
+
+
+def _clock(t: Column) -> Column:
     dated = r"^\d{4}-\d{2}-\d{2} (\d{2}:\d{2}:\d{2}(?:\.\d{3}|\.\d{6})?)$"
     bare = F.when(t.contains(" "), F.regexp_extract(t, r"^(.*) [^ ]*$", 1)).otherwise(t)
     clock = F.when(t.rlike(dated), F.regexp_extract(t, dated, 1)).when(bare.rlike(r"^\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"), bare)

@@ -453,8 +453,8 @@ def small_file_plan(spark, sf_dir):
     return maintain.small_files(files, group=["tbl"])
 
 
-@query("""SELECT tbl, version, at_ms FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY version DESC) AS n, max(at_ms) OVER () AS now
-FROM (SELECT event_type AS tbl, event_id AS version, epoch_ms(ts) AS at_ms FROM events)) WHERE at_ms < 1893456000000 - 24 * 3600000 AND n > 5""")
+@query("""SELECT tbl, version, at_ms FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY version DESC) AS n
+FROM (SELECT event_type AS tbl, event_id AS version, epoch_us(ts) // 1000 AS at_ms FROM events)) WHERE at_ms < 1893456000000 - 24 * 3600000 AND n > 5""")
 def expire_snapshots(spark, sf_dir):
     s = table(spark, sf_dir, "events").select(F.col("event_type").alias("tbl"), F.col("event_id").alias("version"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"))
     return maintain.expired(s, 1893456000000, group=["tbl"])
@@ -468,7 +468,7 @@ def _applied(spark, sf_dir) -> DataFrame:
     return e.select(F.col("event_type").alias("table"), (F.col("user_id") % 4).alias("worker"), F.col("ts").alias("at"), F.col("event_id").alias("id"), (F.col("event_id") % 3 + 1).alias("rows"))
 
 
-A_SQL = "SELECT event_type AS \"table\", user_id % 4 AS worker, ts AS at, event_id AS id, event_id % 3 + 1 AS rows FROM events"
+A_SQL = "SELECT event_type AS \"table\", user_id % 4 AS worker, ts AS done_at, event_id AS id, event_id % 3 + 1 AS rows FROM events"
 
 
 @query(f'SELECT "table", CAST(sum(rows) AS BIGINT) AS rows FROM ({A_SQL}) GROUP BY 1')
@@ -476,13 +476,13 @@ def rows_per_table(spark, sf_dir):
     return metrics.rows_per_table(_applied(spark, sf_dir))
 
 
-@query(f'SELECT "table", max(at) AS last_write FROM ({A_SQL}) GROUP BY 1')
+@query(f'SELECT "table", max(done_at) AS last_write FROM ({A_SQL}) GROUP BY 1')
 def last_write_per_table(spark, sf_dir):
     return metrics.last_write(_applied(spark, sf_dir))
 
 
 @query(f"""SELECT "table", at_ms, total, CASE WHEN at_ms - lag(at_ms) OVER w > 0 THEN CAST(floor(greatest(total - lag(total) OVER w, 0) * 1000 / (at_ms - lag(at_ms) OVER w)) AS BIGINT) END AS per_second
-FROM (SELECT "table", epoch_ms(date_trunc('hour', at)) AS at_ms, CAST(sum(rows) * 3600000 AS BIGINT) AS total FROM ({A_SQL}) GROUP BY 1, 2) WINDOW w AS (PARTITION BY "table" ORDER BY at_ms)""")
+FROM (SELECT "table", epoch_ms(CAST(date_trunc('hour', done_at) AS TIMESTAMP)) AS at_ms, CAST(sum(rows) * 3600000 AS BIGINT) AS total FROM ({A_SQL}) GROUP BY 1, 2) WINDOW w AS (PARTITION BY "table" ORDER BY at_ms)""")
 def throughput(spark, sf_dir):
     at = F.unix_millis(F.date_trunc("hour", "at").cast("timestamp"))
     samples = _applied(spark, sf_dir).groupBy("table", at.alias("at_ms")).agg((F.sum("rows") * 3_600_000).cast("long").alias("total"))
@@ -495,7 +495,7 @@ def flush_trigger_count(spark, sf_dir):
 
 
 @query(f"""SELECT id, CAST(sum(gap) OVER (PARTITION BY "table" ORDER BY at_ms, id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS flush FROM
-(SELECT *, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY "table" ORDER BY at_ms, id) > 600000 THEN 1 ELSE 0 END AS gap FROM (SELECT *, epoch_ms(at) AS at_ms FROM ({A_SQL})))""")
+(SELECT *, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY "table" ORDER BY at_ms, id) > 600000 THEN 1 ELSE 0 END AS gap FROM (SELECT *, epoch_us(done_at) // 1000 AS at_ms FROM ({A_SQL})))""")
 def flush_trigger_idle(spark, sf_dir):
     a = _applied(spark, sf_dir).withColumn("at_ms", F.unix_millis(F.col("at").cast("timestamp")))
     return metrics.idle_flushes(a, "at_ms", 600_000, "id").select("id", "flush")
