@@ -28,7 +28,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 #: Fixed value: the published pre-tokenizer pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces and units a worker remembers, the first it meets (frequent ones come early), and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 700_000, 64
+CACHE_PIECES, CACHE_CHARS = 350_000, 64
 #: Characters encoded at a time.
 BLOCK_CHARS = 1 << 20
 

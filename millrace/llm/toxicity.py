@@ -88,18 +88,18 @@ class Model:
 
     def fit(self, toxic: list[Words], ordinary: list[Words]) -> None:
         """Counts are continuation counts: of a pair, the documents that hold it; below, distinct contexts."""
-        docs = [[self.ids(w) for w in of] for of in (toxic, ordinary)]
+        docs = (toxic, ordinary)
         n = len(self.tables[0]) + 1
-        #: Ids of the stems of each word, and shared shares of a key among those of its stem.
-        self.log = []
         levels = [[np.zeros(len(t) + 1) for t in self.tables] for _ in docs]
         pairs = []
         for of, count in zip(docs, levels, strict=True):
-            both = [np.unique(d[0][:-1] * n + d[0][1:]) for d in of]
-            pairs.append(np.unique(np.concatenate(both or [np.empty(0, dtype=np.int64)]), return_counts=True))
-            for d in of:
+            both = [np.empty(0, dtype=np.int64)]
+            for w in of:
+                d = self.ids(w)
+                both.append(np.unique(d[0][:-1] * n + d[0][1:]))
                 for c, ids in zip(count, d, strict=True):
                     c[np.unique(ids)] += 1
+            pairs.append(np.unique(np.concatenate(both), return_counts=True))
         self.lower, self.spare = [], []
         for count in levels:
             own, spare = [], []
@@ -185,13 +185,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample:
     #: At most 2 * sample ids, so the broadcast is bounded.
     got = docs.join(F.broadcast(scratch.keep(some, "sample")), "doc_id").select("text", "y", "h").mapInArrow(_packed, "words array<long>, y int, h long")
     got = scratch.keep(got, "words").toArrow().sort_by("h")
-    rows = [Words.unpacked(np.array(v.values, dtype=np.int64).view(np.uint64)) for v in got.column("words")]
+    lists = got.column("words").combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)  # views of one buffer
+    rows = [Words.unpacked(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     y = np.array(got.column("y").to_pylist(), dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
     tables = []
     for level in range(3):
-        keys, count = np.unique(np.concatenate([np.unique(w.levels[level]) for w in rows]), return_counts=True)
+        keys, count = np.unique(np.concatenate([np.unique(w.levels[level]) for w in rows]), return_counts=True)  # documents that hold a key
         tables.append(keys[count > 1])
     sizes = [len(t) + 1 for t in tables]
     shared = spark.sparkContext.broadcast(Model(tables, []))
