@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .tables import Scratch, ship
 from .words import gram_hashes, mixed, texts, words
@@ -86,6 +86,12 @@ def _context_hash(c: np.ndarray) -> np.ndarray:
     return mixed((c * _WEIGHT).sum(axis=1, dtype=np.uint64))
 
 
+def _text_hash(h: np.ndarray) -> int:
+    """A signed hash of a text's words in their order."""
+    at = np.arange(len(h), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return int(mixed((h * at).sum(keepdims=True, dtype=np.uint64)).view(np.int64)[0])
+
+
 def _as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
@@ -178,8 +184,7 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 h = words(b)[2]
                 at, g = retained(h)
                 if len(at) and doc is not None:
-                    th = mixed((h * (np.arange(len(h), dtype=np.uint64) * np.uint64(2) + np.uint64(1))).sum(keepdims=True, dtype=np.uint64))
-                    for column, x in zip(out, (g, _context_hash(contexts(h, at)), np.full(len(at), doc, dtype=np.int64), np.repeat(th, len(at)), at, np.full(len(at), len(h))), strict=True):
+                    for column, x in zip(out, (g, _context_hash(contexts(h, at)), np.full(len(at), doc, dtype=np.int64), np.full(len(at), _text_hash(h)), at, np.full(len(at), len(h))), strict=True):
                         column.append(x.view(np.int64))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([_as_long(np.concatenate(c)) for c in out], names=["kg", "ctx", "doc_id", "th", "at", "n"])
@@ -251,7 +256,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                     out.append((doc, s, e - s, sum(max(min(e, b) - max(s, a), 0) for a, b in later)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 4, names=["doc_id", "first_word", "n_words", "n_later"])
 
-    return _spans(docs, scratch).select("doc_id", "every", "later").distinct().mapInArrow(run, "doc_id long, first_word long, n_words long, n_later long")
+    return _spans(docs, scratch).select("doc_id", "every", "later").mapInArrow(run, "doc_id long, first_word long, n_words long, n_later long")
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
@@ -264,31 +269,38 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     spans = found.groupBy("__doc").agg(F.collect_list(F.struct("__th", "__later")).alias("__spans"))
     joined = docs.join(spans, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
-    touched = joined.where("__spans is not null")
-    schema = StructType([*(StructField(f.name, f.dataType) for f in docs.schema), StructField("__left", LongType())])
+    schema = StructType([*docs.schema.fields, StructField("__stays", BooleanType())])
     place, length = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else -1
 
+    def without(b: np.ndarray, spans_of: list[dict]) -> str:
+        starts, ends, h = words(b)
+        th = _text_hash(h)
+        keep, at = [], 0
+        for one in spans_of:
+            if one["__th"] == th:
+                x = np.array(one["__later"], dtype=np.int64)
+                for s, e in _merged(np.column_stack((x >> 32, x & 0xFFFFFFFF))):
+                    keep.append(bytes(b[at : starts[s]]))
+                    at = ends[e - 1]
+        keep.append(bytes(b[at:]))
+        return b"".join(keep).decode("utf-8", "replace")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = []
-            for b, spans_of in zip(texts(batch.column(place)), batch.column(len(columns)), strict=True):
-                starts, ends, h = words(b)
-                th = int(mixed((h * (np.arange(len(h), dtype=np.uint64) * np.uint64(2) + np.uint64(1))).sum(keepdims=True, dtype=np.uint64)).view(np.int64)[0])
-                keep, at = [], 0
-                for one in spans_of.as_py():
-                    if one["__th"] == th:
-                        x = np.array(one["__later"], dtype=np.int64)
-                        for s, e in _merged(np.column_stack((x >> 32, x & 0xFFFFFFFF))):
-                            keep.append(bytes(b[at : starts[s]]))
-                            at = ends[e - 1]
-                keep.append(bytes(b[at:]))
-                new.append(b"".join(keep).decode("utf-8", "replace"))
-            arrays = list(batch.columns[: len(columns)])
-            arrays[place] = pa.array(new, pa.string())
-            if length >= 0:
-                arrays[length] = pa.array([len(x) for x in new], pa.int64()).cast(arrays[length].type)
-            left = pa.array([len(x.split()) for x in new], pa.int64())
-            yield pa.RecordBatch.from_arrays([*arrays, left], names=[*columns, "__left"])
-
-    cut = touched.mapInArrow(run, schema).where("__left > 0").select(*columns)
-    return joined.where("__spans is null").select(*columns).unionByName(cut)
+            arrays, stays = list(batch.columns[: len(columns)]), np.ones(batch.num_rows, dtype=bool)
+            spans_of = batch.column(len(columns))
+            if spans_of.null_count < batch.num_rows:
+                new, chars = arrays[place].to_pylist(), arrays[length].to_pylist() if length >= 0 else []
+                for i, b in enumerate(texts(arrays[place])):
+                    if (found_here := spans_of[i].as_py()) is not None:
+                        cut = without(b, found_here)
+                        stays[i] = cut == new[i] or bool(cut.split())
+                        if chars and cut != new[i]:
+                            chars[i] = len(cut)
+                        new[i] = cut
+                arrays[place] = pa.array(new, arrays[place].type)
+                if length >= 0:
+                    arrays[length] = pa.array(chars, arrays[length].type)
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(stays)], names=[*columns, "__stays"])
+
+    return joined.mapInArrow(run, schema).where("__stays").select(*columns)
