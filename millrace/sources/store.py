@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,6 +52,8 @@ class Store:
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self.fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        #: Rows of each folder written here, counted while they were written.
+        self.counts: dict[str, int] = {}
 
     # -- the log
     def create(self, schema: StructType, pk: list[str], partition_col: str | None = None, recreate: bool = False) -> None:
@@ -127,10 +129,13 @@ class Store:
         folder = f"{kind}/{uuid.uuid4().hex}"
         partition = self.meta()["partition"]
         df = df.coalesce(files) if files else df
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         w = df.write.options(**writer_options(len(df.columns), full_load)).option("compression", "snappy")
         if partition and kind == "data" and partition in df.columns:
             w = w.partitionBy(partition)
         w.parquet(f"{self.path}/{folder}")
+        self.counts[folder] = seen.get["rows"]
         return folder
 
     def commit(self, kind: str, plan: Callable[[], tuple[list[tuple[str, str]], list[str]]], batch_id: str | None = None, rows: dict | None = None) -> int | None:
@@ -142,7 +147,7 @@ class Store:
                 return None
             version = (snapshots[-1].version if snapshots else 0) + 1
             added, removed = plan()
-            entry = {"version": version, "kind": kind, "at_ms": int(time.time() * 1000), "added": [{"folder": f, "kind": k, "seq": version} for f, k in added], "removed": removed, "batch_id": batch_id, "rows": rows}
+            entry = {"version": version, "kind": kind, "at_ms": int(time.time() * 1000), "added": [{"folder": f, "kind": k, "seq": version, "rows": self.counts.get(f)} for f, k in added], "removed": removed, "batch_id": batch_id, "rows": rows}
             try:
                 self._create_file(f"log/{version:012d}.json", json.dumps(entry))
                 return version
@@ -217,6 +222,13 @@ class Store:
         """The table, now or as of a version."""
         return self._rows(version).select(*self.schema.names)
 
+    def applied(self) -> DataFrame:
+        """The apply log, as ``metrics`` takes it: table, worker, version, kind, at, rows and files of each snapshot."""
+        name = ".".join(self.path.split("/")[-2:])
+        rows = [(name, 0, s.version, s.kind, s.at_ms, sum(a.get("rows") or 0 for a in s.added if a["kind"] == "data"), len(s.added)) for s in self.snapshots()]
+        df = self.spark.createDataFrame(rows, "`table` string, worker int, version long, kind string, at_ms long, rows long, folders int")
+        return df.withColumn("at", F.timestamp_millis("at_ms"))
+
     def files(self) -> DataFrame:
         """folder, path and size of every live data file."""
         rows = []

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import pytest
@@ -6,9 +7,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.config import Config
 from millrace.functions.types import ColumnSpec, TableSpec
-from millrace.operators import maintain
+from millrace.operators import maintain, metrics
 from millrace.sources.dictionary import Dictionary
 from millrace.sources.store import Conflict, Store
+from millrace.sources.validate import validate
 from millrace.streaming.stream import Engine, packets
 
 SCHEMA = StructType([StructField("id", LongType()), StructField("v", StringType())])
@@ -87,6 +89,16 @@ def test_partitions(spark, tmp_path):
     assert rows(s) == [(1, "b"), (2, "b")]
 
 
+def test_apply_log_and_validation(spark, store, tmp_path):
+    store.append(frame(spark, (1, "a"), (2, "b")))
+    store.row_delta(frame(spark, (3, "c")), frame(spark, (1, None)))
+    log = store.applied()
+    assert [(r.kind, r.rows) for r in log.orderBy("version").collect()] == [("append", 2), ("row_delta", 1)]
+    assert metrics.rows_per_table(log).first().rows == 3 and metrics.last_write(log).count() == 1
+    validate(spark, str(tmp_path))
+    assert not list((tmp_path / "_validation").glob("*"))
+
+
 def test_config():
     assert Config.of({"write_mode": "transaction", "trigger_seconds": "7"}).trigger_seconds == 7
     for bad in ({"write_mode": "x"}, {"nope": "1"}, {"trigger_seconds": "0"}):
@@ -126,6 +138,7 @@ def test_stream_equals_replay(spark, tmp_path, cow):
         lines.append(packet(seq, "Other", "I", (None, {"ID": 1})))
         seq += 1
         (folder / f"{batch}.json").write_text("\n".join(map(json.dumps, lines)))
+        os.utime(folder / f"{batch}.json", (1_700_000_000 + batch, 1_700_000_000 + batch))  # files are taken by age
     config = Config(write_mode="transaction", cow_mode=cow, max_files_per_trigger=1, strict_fold=True)
     engine = Engine(spark, str(tmp_path / "lake"), d, config)
     q = engine.start(packets(spark, str(folder), config), str(tmp_path / "cp"), once=True)
