@@ -11,16 +11,16 @@ so that every ``LEAST`` words hold one whose gram lies inside. Steps:
 2. Only grams that have two contexts or more need sorting. One document of each such class is read
    again for the words of the context.
 3. These suffixes are range-partitioned and sorted by gram and following words. Neighbours are
-   compared, and each suffix with that of the earliest document among those of its gram in the
-   partition; the match is extended right and left word by word. What touches a partition's edge is
-   compared once more across partitions.
+   compared, within a partition also neighbours in the order of the words before the gram, and each
+   suffix with that of the earliest document of its gram; the match is extended right and left word by
+   word. What touches a partition's edge is compared once more across partitions.
 4. Matches of LEAST words or more are marked at every member of their classes; marks are joined by
    document into spans.
 
 As retained positions are at most ``WINDOW`` apart and a context reaches beyond the next one, the marks
 of a longer passage touch. A suffix is held against its neighbours and the earliest document alone:
-where three or more documents share a gram and differ around it, a match that lies mostly before the
-gram can be missed at that position.
+where several documents share a gram and differ around it, a match with another that is neighbour in
+neither order can be missed at that position.
 
 Null, empty and short texts have no suffixes. Rows of null doc_id take no part and stay as they are.
 Rows that repeat a doc_id with the same text count as one document.
@@ -64,12 +64,12 @@ def retained(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = _sliding(g, WINDOW, np.minimum)
     around = np.concatenate((np.zeros(WINDOW - 1, dtype=np.uint64), least, np.zeros(WINDOW - 1, dtype=np.uint64)))
     at = np.flatnonzero(_sliding(around, WINDOW, np.maximum) == g)
-    if len(at) > 1:  # of the same gram over and over (a word that repeats) one position a window is enough
+    if len(at) > 1:  # of a gram that overlaps itself (a few words over and over) not every position is needed
         kept, last = [], {}
         kinds = g[at]
         if len(np.unique(kinds)) < len(kinds):
             for i, (p, k) in enumerate(zip(at.tolist(), kinds.tolist(), strict=True)):
-                if p - last.get(k, -WINDOW) >= WINDOW:
+                if p - last.get(k, -GRAM) >= GRAM:
                     last[k] = p
                     kept.append(i)
             at = at[kept]
@@ -102,8 +102,9 @@ def _lcp(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], same.argmin(axis=1))
 
 
-def _compare(kg: np.ndarray, ctx: np.ndarray, first: np.ndarray, last: np.ndarray, left: np.ndarray, right: np.ndarray) -> dict[str, np.ndarray]:
-    """Matches of sorted suffixes: what each row shares with its neighbours and its gram's earliest row."""
+def _compare(kg: np.ndarray, first: np.ndarray, last: np.ndarray, left: np.ndarray, right: np.ndarray, back: np.ndarray) -> dict[str, np.ndarray]:
+    """Matches of sorted suffixes: what each row shares with its neighbours, with its neighbours in the
+    order ``back`` of what stands before the gram, and with its gram's earliest row."""
     n = len(kg)
     l, r, ll, rr = (np.zeros(n, dtype=np.int32) for _ in range(4))
     if n > 1:
@@ -112,8 +113,8 @@ def _compare(kg: np.ndarray, ctx: np.ndarray, first: np.ndarray, last: np.ndarra
         least = np.minimum.reduceat(first, start)
         hub = np.full(len(start), n)
         np.minimum.at(hub, group, np.where(first == least[group], np.arange(n), n))
-        i = np.concatenate((np.arange(n - 1), np.arange(n)))
-        j = np.concatenate((np.arange(1, n), hub[group]))
+        i = np.concatenate((np.arange(n - 1), np.arange(n), back[:-1]))
+        j = np.concatenate((np.arange(1, n), hub[group], back[1:]))
         ok = (kg[i] == kg[j]) & (i != j) & ~((first[i] == first[j]) & (last[i] == first[i]) & (last[j] == first[j]))
         i, j = i[ok], j[ok]
         for at in range(0, len(i), 50_000):
@@ -136,7 +137,9 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def _matches(table: pa.Table, edges: bool) -> pa.RecordBatch:
     kg, ctx, first, last = (np.array(table.column(c), dtype=np.int64) for c in ("kg", "ctx", "first", "last"))
-    got = _compare(kg, ctx, first, last, _matrix(table.column("left"), LEFT), _matrix(table.column("right"), RIGHT))
+    before = table.column("left").to_pylist()
+    back = np.array(sorted(range(len(kg)), key=lambda i: (kg[i], before[i])), dtype=np.int64)
+    got = _compare(kg, first, last, _matrix(table.column("left"), LEFT), _matrix(table.column("right"), RIGHT), back)
     some = np.flatnonzero(got["r"] > 0)
     none = pa.nulls(len(some), pa.binary())
     parts = [pa.table({"kind": pa.array([0] * len(some), pa.int32()), "kg": kg[some], "ctx": ctx[some], "first": first[some], "last": last[some], **{c: pa.array(v[some], pa.int32()) for c, v in got.items()}, "left": none, "right": none})]

@@ -191,3 +191,7 @@ def test_classifiers_on_held_out_rows(spark, run, label, rest):
     assert sum(r.predicted == truth[r.doc_id] for r in tested) / len(tested) > 0.88
     none = run(extra, labels.limit(0)).collect()
     assert len(none) == 3
+
+
+def test_jaccard_query_equals_its_sql(spark, duck, sf):
+    same_rows(queries.op8_jaccard_join(spark, sf), duck, queries.OP8_SQL)
