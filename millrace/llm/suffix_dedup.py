@@ -10,17 +10,15 @@ so that every ``LEAST`` words hold one whose gram lies inside. Steps:
    their number, so copies cost little; a class of two documents is repeated over its whole context.
 2. Only grams that have two contexts or more need sorting. One document of each such class is read
    again for the words of the context.
-3. These suffixes are range-partitioned and sorted by gram and following words. Neighbours are
-   compared, within a partition also neighbours in the order of the words before the gram, and each
-   suffix with that of the earliest document of its gram; the match is extended right and left word by
-   word. What touches a partition's edge is compared once more across partitions.
-4. Matches of LEAST words or more are marked at every member of their classes; marks are joined by
+3. These suffixes are range-partitioned and sorted by gram and following words. For each way to lay
+   LEAST words around the gram, suffixes with the same LEAST words are grouped, and the smallest and
+   largest document of each group are found. What can go on beyond a partition's edge is gathered
+   across partitions by these words, and what more than one has goes back to each.
+4. Words that another document has are marked at every member of their classes; marks are joined by
    document into spans.
 
-As retained positions are at most ``WINDOW`` apart and a context reaches beyond the next one, the marks
-of a longer passage touch. A suffix is held against its neighbours and the earliest document alone:
-where several documents share a gram and differ around it, a match with another that is neighbour in
-neither order can be missed at that position.
+Every LEAST words hold a retained position at the same place in all documents that have them, so the
+spans are exactly the LEAST words in a row that another (or an earlier) document has, joined.
 
 Null, empty and short texts have no suffixes. Rows of null doc_id take no part and stay as they are.
 Rows that repeat a doc_id with the same text count as one document.
@@ -32,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -43,7 +42,7 @@ LEAST, GRAM = 50, 12
 WINDOW = LEAST - GRAM + 1
 LEFT, RIGHT = WINDOW, LEAST
 _WEIGHT = np.random.default_rng(77).integers(1, 2**63, LEFT + RIGHT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-MATCHED = "kind int, kg long, ctx long, first long, last long, l int, r int, ll int, rr int, left binary, right binary"
+MATCHED = "kind int, part int, kg long, ctx long, first long, last long, l int, r int, ll int, rr int, left binary, right binary"
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -97,71 +96,105 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _lcp(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of each two rows; 0 is no word."""
-    same = (a == b) & (a != 0)
+    """Length of the common beginning of each row of a and the row b."""
+    same = a == b
     return np.where(same.all(axis=1), a.shape[1], same.argmin(axis=1))
 
 
-def _compare(kg: np.ndarray, first: np.ndarray, last: np.ndarray, left: np.ndarray, right: np.ndarray, back: np.ndarray) -> dict[str, np.ndarray]:
-    """Matches of sorted suffixes: what each row shares with its neighbours, with its neighbours in the
-    order ``back`` of what stands before the gram, and with its gram's earliest row."""
+def _windows(kg: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """All ways to lay LEAST words around the gram: how many of them stand before it, the suffixes that
+    have so many, and a hash of the LEAST words of each."""
+    h = kg.view(np.uint64).copy()
+    for i in range(LEAST):
+        h += right[:, i].astype(np.uint64) * _WEIGHT[LEFT + i]
+    for before in range(WINDOW):
+        if before:
+            h += left[:, before - 1].astype(np.uint64) * _WEIGHT[LEFT - before]
+            h -= right[:, LEAST - before].astype(np.uint64) * _WEIGHT[LEFT + LEAST - before]
+        there = right[:, LEAST - before - 1] != 0
+        if before:
+            there &= left[:, before - 1] != 0
+        rows = np.flatnonzero(there)
+        if len(rows):
+            yield before, rows, mixed(h[rows] ^ np.uint64(before)).view(np.int64)
+
+
+class _Marks:
+    """How far each suffix's LEAST words reach that another document has (l, r), or an earlier one (ll, rr)."""
+
+    def __init__(self, first: np.ndarray):
+        self.first = first
+        self.l, self.r, self.ll, self.rr = (np.zeros(len(first), dtype=np.int32) for _ in range(4))
+
+    def add(self, before: int, rows: np.ndarray, least: np.ndarray, most: np.ndarray) -> None:
+        """least, most: the smallest and largest document that has these words, for each of the rows."""
+        for some, l, r in ((rows[least != most], self.l, self.r), (rows[least < self.first[rows]], self.ll, self.rr)):
+            l[some] = np.maximum(l[some], before)
+            r[some] = np.maximum(r[some], LEAST - before)
+
+    def table(self, kg: np.ndarray, ctx: np.ndarray) -> pa.Table:
+        some = np.flatnonzero(self.r > 0)
+        return _rows(0, -1, kg[some], ctx[some], self.first[some], self.first[some], [x[some] for x in (self.l, self.r, self.ll, self.rr)])
+
+
+def _rows(kind: int, part: int, kg, ctx, first, last, marks=None, left=None, right=None) -> pa.Table:
     n = len(kg)
-    l, r, ll, rr = (np.zeros(n, dtype=np.int32) for _ in range(4))
-    if n > 1:
-        start = np.flatnonzero(np.concatenate(([True], kg[1:] != kg[:-1])))
-        group = np.cumsum(np.concatenate(([True], kg[1:] != kg[:-1]))) - 1
-        least = np.minimum.reduceat(first, start)
-        hub = np.full(len(start), n)
-        np.minimum.at(hub, group, np.where(first == least[group], np.arange(n), n))
-        i = np.concatenate((np.arange(n - 1), np.arange(n), back[:-1]))
-        j = np.concatenate((np.arange(1, n), hub[group], back[1:]))
-        ok = (kg[i] == kg[j]) & (i != j) & ~((first[i] == first[j]) & (last[i] == first[i]) & (last[j] == first[j]))
-        i, j = i[ok], j[ok]
-        for at in range(0, len(i), 50_000):
-            x, y = i[at : at + 50_000], j[at : at + 50_000]
-            a, b = _lcp(left[x], left[y]).astype(np.int32), _lcp(right[x], right[y]).astype(np.int32)
-            long = a + b >= LEAST
-            x, y, a, b = x[long], y[long], a[long], b[long]
-            for p, q in ((x, y), (y, x)):
-                np.maximum.at(l, p, a)
-                np.maximum.at(r, p, b)
-                later = first[q] < first[p]
-                np.maximum.at(ll, p[later], a[later])
-                np.maximum.at(rr, p[later], b[later])
-    return {"l": l, "r": r, "ll": ll, "rr": rr}
+    marks = marks or [np.zeros(n, dtype=np.int32)] * 4
+    none = pa.nulls(n, pa.binary())
+    columns = [np.full(n, kind, dtype=np.int32), np.full(n, part, dtype=np.int32), kg, ctx, first, last, *marks, none if left is None else left, none if right is None else right]
+    return pa.table(dict(zip(("kind", "part", "kg", "ctx", "first", "last", "l", "r", "ll", "rr", "left", "right"), columns, strict=True)))
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=">u4").reshape(-1, width)
 
 
-def _matches(table: pa.Table, edges: bool) -> pa.RecordBatch:
+def _matches(table: pa.Table, part: int) -> pa.RecordBatch:
+    """Marks of a sorted partition's suffixes (kind 0). Its first and last gram can go on in others: of
+    these it also gives the suffixes (kind 2) and what it has of the words that others can have (kind 1).
+    As suffixes are sorted by the words from the gram on, words that stand in another partition too begin
+    there as its own first or last suffix does."""
     kg, ctx, first, last = (np.array(table.column(c), dtype=np.int64) for c in ("kg", "ctx", "first", "last"))
-    before = table.column("left").to_pylist()
-    back = np.array(sorted(range(len(kg)), key=lambda i: (kg[i], before[i])), dtype=np.int64)
-    got = _compare(kg, first, last, _matrix(table.column("left"), LEFT), _matrix(table.column("right"), RIGHT), back)
-    some = np.flatnonzero(got["r"] > 0)
-    none = pa.nulls(len(some), pa.binary())
-    parts = [pa.table({"kind": pa.array([0] * len(some), pa.int32()), "kg": kg[some], "ctx": ctx[some], "first": first[some], "last": last[some], **{c: pa.array(v[some], pa.int32()) for c, v in got.items()}, "left": none, "right": none})]
-    if edges and len(kg):
-        rim = set()
-        for k in {kg[0], kg[-1]}:
-            of = np.flatnonzero(kg == k)
-            rim |= {int(of[0]), int(of[-1]), int(of[first[of].argmin()])}
-        rows = table.take(sorted(rim))
-        zero = pa.array([0] * len(rim), pa.int32())
-        parts.append(pa.table({"kind": pa.array([1] * len(rim), pa.int32()), **{c: rows.column(c) for c in ("kg", "ctx", "first", "last")}, "l": zero, "r": zero, "ll": zero, "rr": zero, "left": rows.column("left"), "right": rows.column("right")}))
+    left, right = _matrix(table.column("left"), LEFT), _matrix(table.column("right"), RIGHT)
+    reach = np.zeros(len(kg), dtype=np.int64)
+    for end in {0, len(kg) - 1}:
+        of = np.flatnonzero(kg == kg[end])
+        reach[of] = np.maximum(reach[of], _lcp(right[of], right[end]))
+    marks, parts = _Marks(first), []
+    for before, rows, key in _windows(kg, left, right):
+        order = np.argsort(key, kind="stable")
+        rows, key = rows[order], key[order]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        least, most = np.minimum.reduceat(first[rows], start), np.maximum.reduceat(last[rows], start)
+        size = np.diff(np.append(start, len(rows)))
+        marks.add(before, rows, np.repeat(least, size), np.repeat(most, size))
+        out = reach[rows[start]] >= LEAST - before
+        parts.append(_rows(1, part, kg[rows[start]][out], key[start][out], least[out], most[out]))
+    rim = np.flatnonzero(reach)
+    of = table.take(rim)
+    parts += [marks.table(kg, ctx), _rows(2, part, kg[rim], ctx[rim], first[rim], last[rim], None, of.column("left"), of.column("right"))]
     return pa.concat_tables(parts).combine_chunks()
 
 
 def _sorted_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     got = [b for b in batches if b.num_rows]
     if got:
-        yield from _matches(pa.Table.from_batches(got), True).to_batches()
+        yield from _matches(pa.Table.from_batches(got), TaskContext.get().partitionId()).to_batches(100_000)
 
 
-def _sorted_group(table: pa.Table) -> pa.Table:
-    return _matches(table.sort_by([("right", "ascending")]), False)
+def _across(suffixes: pa.Table, shared: pa.Table) -> pa.Table:
+    """Marks of a partition's suffixes by words that other partitions have too."""
+    kg, ctx, first = (np.array(suffixes.column(c), dtype=np.int64) for c in ("kg", "ctx", "first"))
+    marks = _Marks(first)
+    if len(kg) and shared.num_rows:
+        key, least, most = (np.array(shared.column(c), dtype=np.int64) for c in ("key", "least", "most"))
+        order = np.argsort(key)
+        key, least, most = key[order], least[order], most[order]
+        for before, rows, k in _windows(kg, _matrix(suffixes.column("left"), LEFT), _matrix(suffixes.column("right"), RIGHT)):
+            at = np.minimum(np.searchsorted(key, k), len(key) - 1)
+            there = key[at] == k
+            marks.add(before, rows[there], least[at[there]], most[at[there]])
+    return marks.table(kg, ctx)
 
 
 def _merged(spans: np.ndarray) -> list[tuple[int, int]]:
@@ -212,7 +245,7 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 place = {k: i for i, k in enumerate(zip(g.view(np.int64).tolist(), _context_hash(c).view(np.int64).tolist(), strict=True))}
                 for k, x, z in zip(kg.tolist(), ctx.tolist(), last.tolist(), strict=True):
                     if (i := place.get((k, x))) is not None:
-                        small = (c[i] >> np.uint64(32)).astype(">u4")
+                        small = np.maximum(c[i] >> np.uint64(32), 1).astype(">u4")
                         small[c[i] == 0] = 0
                         for column, v in zip(out, (k, x, doc, z, small[:LEFT][::-1].tobytes(), small[LEFT:].tobytes()), strict=True):
                             column.append(v)
@@ -222,7 +255,9 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     suffixes = scratch.keep(suffixes.mapInArrow(regain, "kg long, ctx long, first long, last long, left binary, right binary"), "suffixes")
     array = suffixes.repartitionByRange("kg", "right", "left").sortWithinPartitions("kg", "right", "left")
     matches = scratch.keep(array.mapInArrow(_sorted_partition, MATCHED), "matches")
-    across = matches.where("kind = 1").groupBy("kg").applyInArrow(_sorted_group, MATCHED)
+    shared = matches.where("kind = 1").groupBy("kg", "ctx").agg(F.min("first").alias("least"), F.max("last").alias("most"), F.collect_list("part").alias("parts"))
+    shared = shared.where(F.size("parts") > 1).select(F.explode("parts").alias("part"), F.col("ctx").alias("key"), "least", "most")
+    across = matches.where("kind = 2").groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_across, MATCHED)
     marks = matches.where("kind = 0").unionByName(across).groupBy("kg", "ctx").agg(*(F.max(c).alias(c) for c in ("l", "r", "ll", "rr")))
     copies = classes.where("first < last").select("kg", "ctx", F.col("first").alias("of"))
     info = marks.join(copies, ["kg", "ctx"], "full")
