@@ -56,22 +56,14 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def retained(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions of the minimisers of a text, and their grams' hashes."""
+    """Word positions of all minimisers of a text, tied ones too, and their grams' hashes. What is kept
+    must depend on the words around alone, so that documents which share them keep the same."""
     g = gram_hashes(h, GRAM)
     if len(h) < LEAST:
         return np.empty(0, dtype=np.int64), g[:0]
     least = _sliding(g, WINDOW, np.minimum)
     around = np.concatenate((np.zeros(WINDOW - 1, dtype=np.uint64), least, np.zeros(WINDOW - 1, dtype=np.uint64)))
     at = np.flatnonzero(_sliding(around, WINDOW, np.maximum) == g)
-    if len(at) > 1:  # of a gram that overlaps itself (a few words over and over) not every position is needed
-        kept, last = [], {}
-        kinds = g[at]
-        if len(np.unique(kinds)) < len(kinds):
-            for i, (p, k) in enumerate(zip(at.tolist(), kinds.tolist(), strict=True)):
-                if p - last.get(k, -GRAM) >= GRAM:
-                    last[k] = p
-                    kept.append(i)
-            at = at[kept]
     return at, g[at]
 
 
@@ -85,6 +77,11 @@ def _context_hash(c: np.ndarray) -> np.ndarray:
     return mixed((c * _WEIGHT).sum(axis=1, dtype=np.uint64))
 
 
+def context_hashes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts, a bounded number of them at a time."""
+    return np.concatenate([_context_hash(contexts(h, at[i : i + 10_000])) for i in range(0, max(len(at), 1), 10_000)])
+
+
 def _text_hash(h: np.ndarray) -> int:
     """A signed hash of a text's words in their order."""
     at = np.arange(len(h), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -215,18 +212,24 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for doc, b in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                 h = words(b)[2]
                 at, g = retained(h)
                 if len(at) and doc is not None:
-                    for column, x in zip(out, (g, _context_hash(contexts(h, at)), np.full(len(at), doc, dtype=np.int64), np.full(len(at), _text_hash(h)), at, np.full(len(at), len(h))), strict=True):
+                    c = context_hashes(h, at)
+                    # in a few words over and over, the same context comes again and again: one row for its first and last place
+                    new = np.concatenate(([True], (c[1:] != c[:-1]) | (g[1:] != g[:-1]) | (np.diff(at) > LEAST)))
+                    start = np.flatnonzero(new)
+                    to = at[np.append(start[1:], len(at)) - 1]
+                    at, g, c = at[start], g[start], c[start]
+                    for column, x in zip(out, (g, c, np.full(len(at), doc, dtype=np.int64), np.full(len(at), _text_hash(h)), at, to, np.full(len(at), len(h))), strict=True):
                         column.append(x.view(np.int64))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([_as_long(np.concatenate(c)) for c in out], names=["kg", "ctx", "doc_id", "th", "at", "n"])
+                yield pa.RecordBatch.from_arrays([_as_long(np.concatenate(c)) for c in out], names=["kg", "ctx", "doc_id", "th", "at", "to", "n"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    anchors = scratch.keep(rows.mapInArrow(measure, "kg long, ctx long, doc_id long, th long, at long, n long"), "anchors")
+    anchors = scratch.keep(rows.mapInArrow(measure, "kg long, ctx long, doc_id long, th long, at long, to long, n long"), "anchors")
     classes = scratch.keep(anchors.groupBy("kg", "ctx").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "classes")
     several = classes.groupBy("kg").agg(F.count("*").alias("k")).where("k > 1").select(F.col("kg").alias("of"))
     wanted = classes.join(several, F.col("kg") == F.col("of"), "left_semi")
@@ -240,13 +243,15 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 at, g = retained(h)
                 if not len(at):
                     continue
-                c = contexts(h, at)
                 kg, ctx, last = (np.array(w.values.field(i), dtype=np.int64) for i in range(3))
-                place = {k: i for i, k in enumerate(zip(g.view(np.int64).tolist(), _context_hash(c).view(np.int64).tolist(), strict=True))}
+                some = np.isin(g.view(np.int64), kg)
+                at, g = at[some], g[some]
+                place = {k: i for i, k in enumerate(zip(g.view(np.int64).tolist(), context_hashes(h, at).view(np.int64).tolist(), strict=True))}
                 for k, x, z in zip(kg.tolist(), ctx.tolist(), last.tolist(), strict=True):
                     if (i := place.get((k, x))) is not None:
-                        small = np.maximum(c[i] >> np.uint64(32), 1).astype(">u4")
-                        small[c[i] == 0] = 0
+                        c = contexts(h, at[i : i + 1])[0]
+                        small = np.maximum(c >> np.uint64(32), 1).astype(">u4")
+                        small[c == 0] = 0
                         for column, v in zip(out, (k, x, doc, z, small[:LEFT][::-1].tobytes(), small[LEFT:].tobytes()), strict=True):
                             column.append(v)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), *(pa.array(c, pa.binary()) for c in out[4:])], names=["kg", "ctx", "first", "last", "left", "right"])
@@ -267,7 +272,7 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     here = anchors.join(info, (F.col("kg") == F.col("k")) & (F.col("ctx") == F.col("c")))
     whole_l, whole_r = F.least("at", F.lit(LEFT)), F.least(F.col("n") - F.col("at"), F.lit(RIGHT))
     whole = F.col("of").isNotNull() & (whole_l + whole_r >= LEAST)
-    span = lambda left, right: F.shiftleft(F.col("at") - left, 32).bitwiseOR(F.col("at") + right)
+    span = lambda left, right: F.shiftleft(F.col("at") - left, 32).bitwiseOR(F.col("to") + right)
     every = span(F.when(whole, whole_l).otherwise(F.col("l")), F.when(whole, whole_r).otherwise(F.col("r")))
     again = whole & (F.col("doc_id") > F.col("of"))
     later = F.when(again, span(whole_l, whole_r)).when(F.col("rr") > 0, span(F.col("ll"), F.col("rr")))

@@ -56,3 +56,14 @@ def test_copies_meet_the_earliest_of_their_own_words(spark, partitions):
     for _ in range(60):
         texts.append(" ".join([*spread(rng, rng.randrange(40)), *rng.choice(passages)[rng.randrange(5) :], *spread(rng, rng.randrange(40))]))
     check(spark, texts, partitions)
+
+
+@pytest.mark.parametrize("period", [1, 5, 8])
+def test_runs_of_other_lengths_keep_the_same_positions(spark, period):
+    rng = random.Random(period)
+    texts = []
+    for i in range(12):
+        line, tail = spread(rng, period), spread(rng, 10 + i)
+        for extra in (0, 7, 45):
+            texts.append(" ".join([*spread(rng, 20), *(line * 80)[: 120 + extra][::-1][: 50 + extra][::-1], *tail, *spread(rng, 20)]))
+    check(spark, [*texts, "the " * 400, "the " * 70 + "end"])
