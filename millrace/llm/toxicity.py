@@ -10,8 +10,9 @@ most toxic stretches of ``STRETCH`` words, so that a long text doesn't thin it o
 fitted on labelled documents that are held back from the counts turns it into a probability.
 
 Words are runs of letters and digits, ASCII case folded. Labelled rows are taken in the order of a
-hash of doc_id, at most ``SAMPLE`` of each class; the shared counts are of all rows, over the words
-and stems that the sample holds. Null and empty texts have no evidence. Repeated rows are scored each;
+hash of doc_id, at most ``SAMPLE`` of each class; the shared counts, of different words before a word,
+are of all words of all rows and stay a distributed table, of which the model takes what the fitted
+documents hold. Null and empty texts have no evidence. Repeated rows are scored each;
 doc_id may be null; an empty table gives an empty table. Without labels of both classes every score
 is 0.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .tables import Scratch, ship
-from .words import texts, words
+from .words import mixed, texts, words
 
 SAMPLE, STRETCH, DISCOUNT = 3000, 3, 4.0
 LOWER = np.arange(256, dtype=np.uint64)
@@ -72,11 +73,12 @@ class Model:
     """Log-likelihood ratios of two Kneser-Ney models that share their lowest level.
 
     ``tables`` are the sorted keys of each level (words, six-byte stems, four-byte stems) that the
-    sample holds; id 0 at a level is any other key.
+    fitted documents hold; id 0 at a level is any other key.
     """
 
     def __init__(self, tables: list[np.ndarray], shared: list[np.ndarray]):
-        """shared: corpus counts of id 0 and of each key, at each level."""
+        """shared: corpus counts of id 0 (1: it falls out of the ratios) and of each key, at each level, and
+        of all words."""
         self.tables, self.shared = tables, shared
 
     def ids(self, w: Words) -> list[np.ndarray]:
@@ -110,7 +112,7 @@ class Model:
                 spare.append(max(np.minimum(c, DISCOUNT).sum() / total, 1e-3))
             self.lower.append(own)
             self.spare.append(spare)
-        self.chance = [(s + 1.0) / (s + 1.0).sum() for s in self.shared]
+        self.chance = [s / self.shared[3][0] for s in self.shared[:3]]
         self.pairs = np.union1d(pairs[0][0], pairs[1][0])
         self.pairs = self.pairs[(self.pairs // n > 0) & (self.pairs % n > 0)]
         left = self.pairs // n
@@ -174,6 +176,57 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int64())), batch.column(1), batch.column(2)], names=["words", "y", "h"])
 
 
+def corpus_counts(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """word, six (its six-byte stem) and n, how many different words stand before it (the start of a text
+    is one), for every word of every text: a distributed table that grows with the input."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def distinct() -> pa.RecordBatch:
+            left, word, six = (np.concatenate(x) for x in zip(*got, strict=True))
+            _, at = np.unique(mixed(left) + word, return_index=True)
+            return pa.RecordBatch.from_arrays([pa.array(x[at].view(np.int64)) for x in (left, word, six)], names=["left", "word", "six"])
+
+        for batch in batches:
+            for b in texts(batch.column(0)):
+                w = Words(b)
+                if len(w):
+                    got.append((np.concatenate((np.zeros(1, dtype=np.uint64), w.levels[0][:-1])), w.levels[0], w.levels[1]))
+                    size += len(w)
+                if size > 1_000_000:
+                    yield distinct()
+                    got, size = [], 0
+        if got:
+            yield distinct()
+
+    found = docs.select(F.col("text").cast("string")).mapInArrow(pairs, "left long, word long, six long").distinct()
+    return scratch.keep(found.groupBy("word", "six").agg(F.count("*").alias("n")), "corpus")
+
+
+def known_counts(corpus: DataFrame, tables: list[np.ndarray]) -> list[np.ndarray]:
+    """Of ``corpus_counts``, the sum of all and of each key of the tables, at each level. No other count
+    can change a score: where neither class has seen a key, the shared chance is a factor of both
+    classes' probabilities and falls out of their ratio."""
+    shared = corpus.sparkSession.sparkContext.broadcast(tables)
+    counts = []
+    for level, key in enumerate((F.col("word"), F.col("six"), F.shiftrightunsigned("six", 16))):
+
+        def known(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                there = _lookup(shared.value[level], np.array(batch.column(0), dtype=np.int64).view(np.uint64))[1]
+                yield batch.filter(pa.array(there, pa.bool_()))
+
+        every = corpus.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
+        got = every.mapInArrow(known, "key long, n long").toArrow()
+        c = np.ones(len(tables[level]) + 1)
+        c[_lookup(tables[level], np.array(got.column("key"), dtype=np.int64).view(np.uint64))[0] + 1] = np.array(got.column("n"))
+        counts.append(c)
+    total = corpus.agg(F.sum("n")).first()[0]
+    return [*counts, np.array([float(total or 1)])]
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample: int = SAMPLE) -> Model | None:
     """docs: doc_id, text; labels: doc_id and the 0/1 column; train: which doc_ids may be learnt from."""
     spark = docs.sparkSession
@@ -191,30 +244,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample:
     y = np.array(got.column("y").to_pylist(), dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    tables = []
-    for level in range(3):
-        keys, count = np.unique(np.concatenate([np.unique(w.levels[level]) for w in rows]), return_counts=True)  # documents that hold a key
-        tables.append(keys[count > 1])
-    sizes = [len(t) + 1 for t in tables]
-    shared = spark.sparkContext.broadcast(Model(tables, []))
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total = shared.value, [np.zeros(n, dtype=np.int64) for n in sizes]
-        for batch in batches:
-            got = [model.ids(Words(b)) for b in texts(batch.column(0))]
-            for t, ids in zip(total, zip(*got, strict=True), strict=False):
-                t += np.bincount(np.concatenate(ids), minlength=len(t))
-        for level, t in enumerate(total):
-            some = np.flatnonzero(t)
-            yield pa.RecordBatch.from_arrays([pa.array([level] * len(some), pa.int32()), pa.array(some, pa.int64()), pa.array(t[some])], names=["level", "id", "n"])
-
-    tallied = docs.select("text").mapInArrow(tally, "level int, id long, n long").groupBy("level", "id").agg(F.sum("n").alias("n")).toArrow()
-    counts = [np.zeros(n) for n in sizes]
-    for level, c in enumerate(counts):
-        here = np.array(tallied.column("level")) == level
-        c[np.array(tallied.column("id"))[here]] = np.array(tallied.column("n"))[here]
-    model = Model(tables, counts)
     held = np.arange(len(rows)) % 3 == 0
+    tables = [np.unique(np.concatenate([np.unique(w.levels[level]) for w, h in zip(rows, held, strict=True) if not h])) for level in range(3)]
+    counts = known_counts(corpus_counts(docs, scratch), tables)
+    model = Model(tables, counts)
     pick = lambda of: [rows[i] for i in np.flatnonzero((y == of) & ~held)]
     model.fit(pick(1), pick(0))
     model.calibrate([rows[i] for i in np.flatnonzero(held)], y[held])
