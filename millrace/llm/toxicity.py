@@ -4,8 +4,8 @@ Two interpolated Kneser-Ney models, one of toxic and one of ordinary labelled do
 word by word. A word after another backs off to the word alone, that to its six-byte stem, that to its
 four-byte stem, and that to a distribution which both classes share: the counts of the whole corpus,
 toxic or not, which also divide a stem among its words. A rare expression thus costs both classes
-nearly the same unless its stem tells them apart. Counts are of documents, and ``DISCOUNT`` is taken
-from each. A document's evidence is the log-likelihood ratio a word of the whole text and of its two
+nearly the same unless its stem tells them apart. Counts of a pair are of documents, those below are of
+the different words before; of each the discount n1 / (n1 + 2 n2) is taken. A document's evidence is the log-likelihood ratio a word of the whole text and of its two
 most toxic stretches of ``STRETCH`` words, so that a long text doesn't thin it out; a logistic curve
 fitted on labelled documents that are held back from the counts turns it into a probability.
 
@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .tables import Scratch, ship
 from .words import mixed, texts, words
 
-SAMPLE, STRETCH, DISCOUNT = 3000, 3, 4.0
+SAMPLE, STRETCH = 3000, 3
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += np.uint64(32)
 
@@ -43,6 +43,12 @@ def _lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == keys
 
 
+def discount(counts: np.ndarray) -> float:
+    """Of Kneser and Ney: n1 / (n1 + 2 n2), from how many counts are one and two."""
+    n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
+    return min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 + n2 else 0.5
+
+
 class Words:
     """The words of a text, as arrays: hash of the word, its first six bytes and its first four."""
 
@@ -89,27 +95,31 @@ class Model:
         return out
 
     def fit(self, toxic: list[Words], ordinary: list[Words]) -> None:
-        """Counts are continuation counts: of a pair, the documents that hold it; below, distinct contexts."""
-        docs = (toxic, ordinary)
+        """Of a pair, how many documents hold it; below, how many different words stand before a word (the
+        start of a text is one), and before the words of a stem."""
         n = len(self.tables[0]) + 1
-        levels = [[np.zeros(len(t) + 1) for t in self.tables] for _ in docs]
-        pairs = []
-        for of, count in zip(docs, levels, strict=True):
-            both = [np.empty(0, dtype=np.int64)]
+        six, four = (np.zeros(n, dtype=np.int64) for _ in range(2))
+        pairs, types = [], []
+        for of in (toxic, ordinary):
+            both, starts = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
             for w in of:
                 d = self.ids(w)
+                six[d[0]], four[d[0]] = d[1], d[2]
                 both.append(np.unique(d[0][:-1] * n + d[0][1:]))
-                for c, ids in zip(count, d, strict=True):
-                    c[np.unique(ids)] += 1
-            pairs.append(np.unique(np.concatenate(both), return_counts=True))
+                starts.append(d[0][:1])
+            keys, count = np.unique(np.concatenate(both), return_counts=True)
+            pairs.append((keys, count))
+            types.append(np.bincount(np.concatenate((keys % n, np.unique(np.concatenate(starts)))), minlength=n))
         self.lower, self.spare = [], []
-        for count in levels:
+        for c in types:
             own, spare = [], []
-            for c in count:
-                c[0] = 0
-                total = max(c.sum(), 1.0)
-                own.append(np.maximum(c - DISCOUNT, 0) / total)
-                spare.append(max(np.minimum(c, DISCOUNT).sum() / total, 1e-3))
+            for ids, table in zip((np.arange(n), six, four), self.tables, strict=True):
+                k = np.bincount(ids, weights=c, minlength=len(table) + 1)
+                k[0] = 0
+                off = discount(k)
+                total = max(k.sum(), 1.0)
+                own.append(np.maximum(k - off, 0) / total)
+                spare.append(max(np.minimum(k, off).sum() / total, 1e-3))
             self.lower.append(own)
             self.spare.append(spare)
         self.chance = [s / self.shared[3][0] for s in self.shared[:3]]
@@ -120,9 +130,10 @@ class Model:
         for keys, count in pairs:
             at, there = _lookup(keys, self.pairs)
             c = np.where(there, count[at], 0.0) if len(keys) else np.zeros(len(self.pairs))
-            total = np.maximum(np.bincount(left, weights=c, minlength=n), 1.0)
-            self.of_pair.append(np.maximum(c - DISCOUNT, 0) / total[left])
-            self.gamma.append(np.where(total > 1, np.bincount(left, weights=np.minimum(c, DISCOUNT), minlength=n) / total, 1.0).clip(1e-3, 1.0))
+            off = discount(count)
+            total = np.bincount(left, weights=c, minlength=n)
+            self.of_pair.append(np.maximum(c - off, 0) / np.maximum(total, 1.0)[left])
+            self.gamma.append(np.where(total > 0, np.bincount(left, weights=np.minimum(c, off), minlength=n) / np.maximum(total, 1.0), 1.0).clip(1e-3, 1.0))
 
     def ratios(self, w: Words) -> np.ndarray:
         """Log ratio of each word, given the word before it."""

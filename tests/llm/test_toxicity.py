@@ -49,3 +49,16 @@ def test_a_sampled_document_of_its_own_words_counts_and_unseen_words_fall_out(sp
     for level, c in enumerate(model.chance):
         c[0] *= 1e-3 ** (3 - level)
     assert np.allclose(model.ratios(unseen), old)
+
+
+def test_lower_counts_are_of_different_words_before_and_rare_words_keep_mass():
+    toxic = [words_of(t) for t in ("san francisco", "san francisco", "san francisco here", "bad dog", "my dog", "a dog here")]
+    ordinary = [words_of(t) for t in ("my house", "a house", "the house here")]
+    tables = [np.unique(np.concatenate([w.levels[i] for w in toxic + ordinary])) for i in range(3)]
+    model = toxicity.Model(tables, [*(np.ones(len(t) + 1) for t in tables), np.array([50.0])])
+    model.fit(toxic, ordinary)
+    own = lambda word: model.lower[0][0][model.ids(words_of(word))[0][0]]
+    assert own("dog") > own("francisco") > 0 and own("bad") > 0
+    off = toxicity.discount(np.array([1, 1, 1, 2, 5]))
+    assert off == 3 / 5
+    assert model.ratios(words_of("bad dog")).min() > 0
