@@ -46,7 +46,8 @@ _PART = re.compile(r"[a-z]+")
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
-    """("text", text, ()), ("open", name, marks) or ("close", name, ()); marks are class, id and role parts."""
+    """("text", text, ()), ("open", name, marks) or ("close", name, ()); marks are class, id and role names,
+    of each its runs of letters joined by hyphens."""
     at, n = 0, len(page)
     while at < n:
         m = _TAG.search(page, at)
@@ -69,7 +70,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
             yield "close", name, ()
             continue
         rest = m[3] if m[2] else m[6]
-        marks = tuple(p for a in _ATTRIBUTE.finditer(rest) for p in _PART.findall((a[2] or a[3] or a[4] or "").lower())) if "=" in rest else ()
+        marks = tuple("-".join(p) for a in _ATTRIBUTE.finditer(rest) for m in (a[2] or a[3] or a[4] or "").lower().split() if (p := _PART.findall(m))) if "=" in rest else ()
         yield "open", name, marks
         if name in RAW and not rest.endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
@@ -100,9 +101,18 @@ class Weights:
         self.cost = {k: log(1 + (tag_out[k] + 0.5) / (tag_in[k] + 0.5)) for k in {*tag_in, *tag_out}}
         self.other_cost = log(2)
 
+    def evidence(self, mark: str) -> float:
+        """Log odds of a mark seen in the labelled pages; of another, the sum over its parts divided by the
+        square of their number, so that one part of a name never decides alone (``no-sidebar``)."""
+        if (known := self.against.get(f".{mark}")) is not None:
+            return known
+        parts = mark.split("-")
+        return sum(self.against.get(f".{p}", 0.0) for p in parts) / len(parts) ** 2
+
     def speaks_against(self, name: str, marks: tuple[str, ...]) -> bool:
-        """Whether an element's name or marks were seen outside the main text alone, and often."""
-        return name in TEXTLESS or self.against.get(name, 0.0) > 2.5 or any(self.against.get(f".{m}", 0.0) > 2.5 for m in marks)
+        """Whether an element's name was seen outside the main text alone, and often, or its different
+        marks, taken together, speak for that."""
+        return name in TEXTLESS or self.against.get(name, 0.0) > 2.5 or (bool(marks) and sum(self.evidence(m) for m in {*marks}) > 2.5)
 
 
 @lru_cache(1)

@@ -34,4 +34,5 @@ PAGES = [
     f"{HEAD}{NAV}<div class='main body'>[[{H1}{P}{RICH}{RICH}]]</div>{SIDE}{FOOT_DIV}",
     f"{HEAD}{MENU}<article class='story'>[[{H1}<div>{RICH}</div><div>{RICH}{RICH}</div>]]</article>{COMMENTS}{FOOT}",
     f"{HEAD}{HEADER}{NAV}<main>[[{H1}{P}<figure><figcaption>{W5}</figcaption></figure>{P}]]{PROMO}[[{P}]]{RELATED}{COMMENTS}</main>{FOOT}",
+    f"{HEAD}<div id='page' class='site'>{HEADER}{NAV}<div class='site-content'><main class='site-main'><div class='post-list'>[[{H1}{P}<ul class='list'><li>{W9}</li><li>{W9}</li></ul>{P}]]</div></main></div>{FOOT_DIV}",
 ]
