@@ -5,7 +5,7 @@ The vocabulary file (``tokenizers`` JSON) is a parameter; nothing is trained. En
 library's with ``add_special_tokens=False``: special-token strings in a text become their ids, the
 rest is cut by the pre-tokenizer's pattern and each piece is merged on its own. Null text counts as
 empty; an empty text has no ids and decodes to the empty string. Texts of any length are encoded in
-blocks cut where no piece can cross, so memory follows the ids of one document.
+blocks of units that no piece crosses (see ``units``), so memory follows the ids of a few documents.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ import hashlib
 import heapq
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from .units import BLOCK, Units, gather
+from .words import slices
+
 #: Fixed value: the published pre-tokenizer pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces and units a worker remembers, the first it meets (frequent ones come early), and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 350_000, 64
-#: Characters encoded at a time.
-BLOCK_CHARS = 1 << 20
+#: Bytes encoded at a time.
+BLOCK_CHARS = BLOCK
 
 
 @lru_cache(1)
@@ -41,6 +41,12 @@ def byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def packed(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings as one array, with the start and the length of each."""
+    size = np.array([len(x) for x in strings], dtype=np.int64)
+    return np.frombuffer(b"".join(strings), dtype=np.uint8), np.cumsum(size) - size, size
+
+
 class Bpe:
     """An encoder and decoder over one vocabulary."""
 
@@ -67,8 +73,10 @@ class Bpe:
         for s, i in special.items():
             self.bytes_of[i] = s.encode()
         self.pieces = regex.compile(PATTERN)
-        self.cut = regex.compile(r"(?<=\S) (?=\S)")
-        self.known, self.units = _Pieces(self), _Units(self)
+        self.units = Units(self.fresh)
+        self.strings, self.string_at, self.string_size = packed(self.bytes_of)
+        #: Each id in decimal, a comma after it.
+        self.decimals, self.decimal_at, self.decimal_size = packed([b"%d," % i for i in range(len(self.bytes_of))])
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece. A queue entry is rank << 32 | position; it is stale, and skipped, once its
@@ -100,65 +108,36 @@ class Bpe:
                 push(queue, r << 32 | h)
         return [x for x in ids if x >= 0]
 
-    def _plain(self, text: str) -> Iterable[bytes]:
-        """Ids, four bytes each, of a text without special tokens, in parts.
-
-        No piece crosses a single space between two other characters that aren't white space, so
-        such a text is cut there (a line feed alone between two such characters opens a unit too);
-        any other text goes through the pattern as it is.
-        """
-        if text.replace("\n", " ").split(" ") == text.split():
-            first, *rest = text.replace("\n", " \n").split(" ")
-            return chain((self.fresh(first),), map(self.units.__getitem__, rest))
-        return (self.fresh(x) for x in regex.split(r"(?<=\S)(?= \S)", text, flags=regex.V1) if x)
-
-    def fresh(self, text: str) -> bytes:
-        """Ids of a text that goes through the pattern as it is."""
-        return b"".join(map(self.known.__getitem__, self.pieces.findall(text)))
+    def fresh(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that go through the pattern as they are, and how many each has."""
+        ids, ends = array("I"), [0]
+        for u in units:
+            for part in self._parts(u):
+                ids.extend(part)
+            ends.append(len(ids))
+        return np.array(ids, dtype=np.uint32), np.diff(ends)
 
-    def blocks(self, text: str) -> Iterator[bytes]:
-        """The ids of a text as little-endian 32-bit integers, block by block; each block is whole characters."""
+    def _parts(self, text: str) -> Iterator[list[int]]:
         for part in self.at_special.split(text) if self.at_special and any(s in text for s in self.special) else (text,):
             if part in self.special:
-                yield self.special[part].to_bytes(4, "little")
-                continue
-            at = 0
-            while at < len(part):
-                to = len(part)
-                if to - at > BLOCK_CHARS and (m := self.cut.search(part, at + BLOCK_CHARS)):
-                    to = m.start()
-                yield b"".join(self._plain(part[at:to]))
-                at = to
-
-    def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(b"".join(self.blocks(text or "")), dtype="<u4").tolist()
-
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
-
-class _Pieces(dict):
-    """Ids of a piece, four bytes each; remembers CACHE_PIECES pieces at most."""
-
-    def __init__(self, bpe: Bpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def work(self, key: str) -> bytes:
-        return array("I", self.bpe.merge(key.encode("utf-8", "surrogatepass"))).tobytes()
+                yield [self.special[part]]
+            else:
+                for piece in self.pieces.findall(part):
+                    yield self.merge(piece.encode())
 
-    def __missing__(self, key: str) -> bytes:
-        out = self.work(key)
-        if len(key) <= CACHE_CHARS and len(self) < CACHE_PIECES:
-            self[key] = out
-        return out
+    def encode_all(self, texts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts (UTF-8 bytes), one after the other, and how many each has."""
+        return self.units.ids(texts, BLOCK_CHARS)
 
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_all([np.frombuffer((text or "").encode(), dtype=np.uint8)])[0].tolist()
 
-class _Units(_Pieces):
-    """The same of a unit: " word" stored under "word", and "\\nword" under itself."""
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The vocabulary strings of the ids, concatenated."""
+        return gather(self.strings, self.string_at[ids], self.string_size[ids]).tobytes()
 
-    def work(self, key: str) -> bytes:
-        return self.bpe.fresh(key if key[:1] == "\n" else " " + key)
+    def decode(self, ids: Iterable[int]) -> str:
+        return self.decoded(np.array(list(ids), dtype=np.int64)).decode("utf-8", "replace")
 
 
 @lru_cache(2)
@@ -168,24 +147,22 @@ def load(path: str) -> Bpe:
 
 
 def encode_documents(docs: DataFrame, vocab: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column of token ids in front of any of that name (which it replaces).
+    """``docs`` with a column of token ids in place of any of that name.
 
-    Other columns, nulls in them included, pass through; a null text has no ids. An empty table gives
-    an empty table. Rows that repeat are encoded each.
+    Other columns, nulls in them included, never leave the JVM; a null text has no ids. An empty table
+    gives an empty table. Rows that repeat are encoded each.
     """
-    schema = docs.drop(ids).schema.add(ids, ArrayType(IntegerType()))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(vocab)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                got = [np.frombuffer(b"".join(bpe.blocks(t or "")), dtype="<i4") for t in part.column(text).to_pylist()]
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
-                column = pa.ListArray.from_arrays(offsets, np.concatenate(got) if got else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, ids])
+        for column in columns:
+            got, counts = zip(*(bpe.encode_all(part) for part in slices(column)), strict=True) if len(column) else ((), ())
+            offsets = np.concatenate(([0], *counts)).cumsum().astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got).astype(np.int32) if got else np.empty(0, np.int32)))
 
-    return docs.drop(ids).mapInArrow(run, schema)
+    encoded = F.arrow_udf(run, ArrayType(IntegerType()))
+    rest = docs.drop(ids)
+    return rest.withColumn(ids, encoded(F.col(text).cast("string")))
 
 
 def digests(docs: DataFrame, vocab: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,19 +174,23 @@ def digests(docs: DataFrame, vocab: str, doc_id: str = "doc_id", text: str = "te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocab)
-        decimal = [str(i) for i in range(len(bpe.bytes_of))]
         for batch in batches:
             n, of_ids, of_text = [], [], []
-            for value in batch.column(1):
-                count, a, b = 0, hashlib.sha256(), hashlib.sha256()
-                for block in bpe.blocks(value.as_py() or ""):
-                    ids = np.frombuffer(block, dtype="<u4").tolist()
-                    a.update((("," if count else "") + ",".join(map(decimal.__getitem__, ids))).encode() if ids else b"")
-                    b.update(bpe.decode(ids).encode())
-                    count += len(ids)
-                n.append(count)
-                of_ids.append(a.hexdigest())
-                of_text.append(b.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col(doc_id).cast("long"), text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for part in slices(batch.column(1)):
+                ids, counts = bpe.encode_all(part)
+                at = 0
+                for count in counts.tolist():
+                    a, b = hashlib.sha256(), hashlib.sha256()
+                    own = ids[at : at + count]
+                    for k in range(0, count, BLOCK_CHARS):
+                        some = own[k : k + BLOCK_CHARS]
+                        decimal = gather(bpe.decimals, bpe.decimal_at[some], bpe.decimal_size[some])
+                        a.update(decimal[: len(decimal) - (k + len(some) == count)].tobytes())
+                        b.update(bpe.decoded(some))
+                    n.append(count)
+                    of_ids.append(a.hexdigest())
+                    of_text.append(b.hexdigest())
+                    at += count
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

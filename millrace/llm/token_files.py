@@ -11,7 +11,7 @@ A file is, in this order,
 
 A reader takes the footer, the seek table and the index, and then decompresses only the frames of the
 documents asked for. Documents are written in ascending order of doc_id (null first, ties in a fixed
-order), one file for each range of them, under a name of its own for each attempt of a task; only the
+order), one file or more for each range of them, under a name of its own for each attempt of a task; only the
 files named in the manifest count, so a task that runs again after a lost executor does no harm.
 """
 
@@ -22,8 +22,9 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +35,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import BLOCK_CHARS
 from .tables import Scratch
+from .units import Units, gather
+from .words import slices
 
 #: Fixed values of the public formats: magic numbers, and the flag for checksums in the seek table.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
-#: A frame ends with the document that reaches so many bytes.
-FRAME_BYTES = 1 << 18
-#: Units of text a worker remembers (the first it meets), the longest of them, and characters encoded together.
-CACHE_UNITS, CACHE_CHARS, SLICE_CHARS = 1_000_000, 64, 1 << 21
-#: Marks a unit to be taken as it is; a unit from a cut never starts with two line feeds.
-AS_IT_IS = "\n\n"
+#: A frame ends with the document that reaches so many bytes of ids, and so does a file.
+FRAME_BYTES, FILE_BYTES = 1 << 18, 1 << 29
+#: Documents read back together.
+READ_DOCS = 1 << 16
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("first", "<u4"), ("n", "<u4")])
 LEVEL = 1
+MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
+#: Units that the library encodes together.
+TOGETHER = 4096
 
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -54,11 +57,7 @@ def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the ``tokenizers`` library.
-
-    Text is handed over in units that no token crosses: the cuts are single spaces (or line feeds)
-    between two characters that aren't white space. Each distinct unit is encoded once.
-    """
+    """Ids of whole texts by the ``tokenizers`` library, which gets each distinct unit once (see ``units``)."""
 
     def __init__(self, vocab: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,42 +66,46 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(vocab)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _units(self, text: str) -> list[str]:
-        out, at = [], 0
-        while at < len(text):
-            to = len(text)
-            if to - at > BLOCK_CHARS and (m := re.compile(r"(?<=\S) (?=\S)").search(text, at + BLOCK_CHARS)):
-                to = m.start()
-            block = text[at:to]
-            cut = block.replace("\n", " \n").split(" ")
-            if len(out) == 0 and block.replace("\n", " ").split(" ") == block.split():
-                out.append(AS_IT_IS + cut[0])
-                out += cut[1:]
-            else:
-                out += [AS_IT_IS + x for x in re.split(r"(?<=\S)(?= \S)", block) if x]
-            at = to
-        return out
-
-    @staticmethod
-    def _text(unit: str) -> str:
-        """A unit's text: a space comes first unless a line feed does."""
-        return unit[2:] if unit[:2] == AS_IT_IS else unit if unit[:1] == "\n" else " " + unit
+        self.units = Units(self._ids)
+        #: Bytes of each id's string.
+        self.size = np.zeros(self.library.get_vocab_size(), dtype=np.int64)
+        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        for s, i in self.library.get_vocab().items():
+            self.size[i] = len(s.encode()) if s in special else len(s)
+
+    def _ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units that begin with white space and don't end with it go to the library joined, ``TOGETHER``
+        at a time: no token crosses from one to the next, so the bytes of the tokens show where each ends."""
+        first = np.array([u[0] in " \n" and not u[-1].isspace() and not u[1].isspace() for u in units], dtype=bool)
+        joined, alone = np.flatnonzero(first).tolist(), np.flatnonzero(~first).tolist()
+        out, counts, order = [], [], []
+        for at in range(0, len(joined), TOGETHER):
+            which = joined[at : at + TOGETHER]
+            some = [units[i] for i in which]
+            ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, dtype=np.uint32)
+            ends = np.cumsum([len(u.encode()) for u in some])
+            reach = np.cumsum(self.size[ids])
+            last = np.searchsorted(reach, ends)
+            if reach[-1] != ends[-1] or (reach[last] != ends).any():  # a token crosses: never seen, but then each alone
+                alone += which
+                continue
+            out.append(ids)
+            counts.append(np.diff(last, prepend=-1))
+            order += which
+        for at in range(0, len(alone), TOGETHER):
+            got = self.library.encode_batch_fast([units[i] for i in alone[at : at + TOGETHER]], add_special_tokens=False)
+            out += [np.array(e.ids, dtype=np.uint32) for e in got]
+            counts.append(np.array([len(e.ids) for e in got]))
+        n, place = np.concatenate(counts), np.argsort(order + alone, kind="stable")
+        return gather(np.concatenate(out), (np.cumsum(n) - n)[place], n[place]), n[place]
+
+    def encode_all(self, texts: Sequence[np.ndarray]) -> list[bytes]:
+        ids, counts = self.units.ids(texts)
+        ends = np.cumsum(counts).tolist()
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip([0, *ends], ends, strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        units = [self._units(t) for t in texts]
-        new = list(set().union(*units).difference(self.known))
-        rest: dict[str, bytes] = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            got = self.library.encode_batch_fast([self._text(u) for u in part], add_special_tokens=False)
-            for u, e in zip(part, got, strict=True):
-                keep = self.known if len(self.known) < CACHE_UNITS and len(u) <= CACHE_CHARS else rest
-                keep[u] = np.array(e.ids, dtype="<u4").tobytes()
-        if rest:
-            return [b"".join([self.known.get(u) or rest.get(u, b"") for u in x]) for x in units]
-        return [b"".join(map(self.known.__getitem__, x)) for x in units]
+        return self.encode_all([np.frombuffer(t.encode(), dtype=np.uint8) for t in texts])
 
 
 @lru_cache(2)
@@ -113,8 +116,11 @@ def encoder(vocab: str) -> LibraryEncoder:
 class Writer:
     """Writes one file; ``add`` in the order that the documents are to have."""
 
-    def __init__(self, out):
-        self.out, self.zstd = out, zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
+    def __init__(self, path: str):
+        fs, inner = file_system(path)
+        fs.create_dir(os.path.dirname(inner), recursive=True)
+        self.path, self.out = path, fs.open_output_stream(inner, compression=None)
+        self.zstd = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         self.frames: list[tuple[int, int, int]] = []
         self.index: list[tuple] = []
         self.open: list[bytes] = []
@@ -143,6 +149,7 @@ class Writer:
         self.out.write(struct.pack("<II", SKIPPABLE_INDEX, len(index) + 4) + index + struct.pack("<I", len(index)))
         table = b"".join(struct.pack("<III", *f) for f in self.frames) + struct.pack("<IBI", len(self.frames), WITH_CHECKSUMS, SEEK_MAGIC)
         self.out.write(struct.pack("<II", SKIPPABLE_SEEK, len(table)) + table)
+        self.out.close()
 
 
 class Reader:
@@ -157,7 +164,7 @@ class Reader:
         self.table = np.frombuffer(file.read_at(12 * n, start + 8), dtype="<u4").reshape(n, 3)
         self.at = np.concatenate(([0], np.cumsum(self.table[:, 0], dtype=np.int64)))
         (length,) = struct.unpack("<I", file.read_at(4, start - 4))
-        self.index = np.frombuffer(zstandard.ZstdDecompressor().decompress(file.read_at(length, start - 4 - length), max_output_size=1 << 31), dtype=INDEX)
+        self.index = np.frombuffer(zstandard.ZstdDecompressor().decompress(file.read_at(length, start - 4 - length)), dtype=INDEX)
 
     def frame(self, k: int) -> bytes:
         """A frame's bytes; both checksums are verified."""
@@ -183,40 +190,35 @@ class Reader:
 def write(docs: DataFrame, vocab: str, folder: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode whole texts, append ``end_id`` to each, write the files; gives the manifest's rows.
 
-    One row a file: part (the files' order), path, docs, ids. Null and empty texts have the end id
+    One row a file: part and file (the files' order), path, docs, ids. Null and empty texts have the end id
     alone. The range cut goes by doc_id, then text, then row, so not even one id that a third of the
     rows share meets in one task.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocab), int(end_id).to_bytes(4, "little")
-        part, path = TaskContext.get().partitionId(), f"{folder}/{uuid.uuid4().hex}.zst"
-        out = writer = None
+        part, file, writer = TaskContext.get().partitionId(), 0, None
+
+        def row() -> pa.RecordBatch:
+            writer.close()
+            return pa.RecordBatch.from_pydict({"part": [part], "file": [file], "path": [writer.path], "docs": [writer.docs], "ids": [writer.ids]}, schema=MANIFEST)
+
         for batch in batches:
-            ids, values = batch.column(0).to_pylist(), batch.column(1)
-            at = 0
-            while at < batch.num_rows:
-                texts, chars = [], 0
-                while at + len(texts) < batch.num_rows and (chars < SLICE_CHARS or not texts):
-                    texts.append(values[at + len(texts)].as_py() or "")
-                    chars += len(texts[-1])
-                if out is None:
-                    fs, inner = file_system(path)
-                    fs.create_dir(os.path.dirname(inner), recursive=True)
-                    out = fs.open_output_stream(inner, compression=None)
-                    writer = Writer(out)
-                for i, got in enumerate(encode.encode(texts)):
-                    writer.add(ids[at + i], got + end)
-                at += len(texts)
+            ids = iter(batch.column(0).to_pylist())
+            for some in slices(batch.column(1)):
+                for got in encode.encode_all(some):
+                    writer = writer or Writer(f"{folder}/{uuid.uuid4().hex}.zst")
+                    writer.add(next(ids), got + end)
+                    if writer.ids >= FILE_BYTES // 4:
+                        yield row()
+                        writer, file = None, file + 1
         if writer:
-            writer.close()
-            out.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "docs": [writer.docs], "ids": [writer.ids]}, schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
+            yield row()
 
     order = ["__doc", "__tie", "__row"]
     rows = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("__text"), F.xxhash64(text).alias("__tie"), F.monotonically_increasing_id().alias("__row"))
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return dealt.select("__doc", "__text").mapInArrow(run, "part int, path string, docs long, ids long")
+    return dealt.select("__doc", "__text").mapInArrow(run, "part int, file int, path string, docs long, ids long")
 
 
 def read_back(manifest: DataFrame) -> DataFrame:
@@ -232,11 +234,13 @@ def read_back(manifest: DataFrame) -> DataFrame:
                 fs, inner = file_system(row["path"])
                 with fs.open_input_file(inner) as f:
                     reader, start = Reader(f), row["before"]
-                    got = [(d, len(x) // 4, zlib.crc32(x)) for d, x in reader.rows()]
-                n = np.array([x[1] for x in got], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int64()), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array([x[2] for x in got], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    rows = reader.rows()
+                    while got := [(d, len(x) // 4, zlib.crc32(x)) for d, x in islice(rows, READ_DOCS)]:
+                        n = np.array([x[1] for x in got], dtype=np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int64()), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array([x[2] for x in got], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                        start += int(n.sum())
 
-    before = F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("ids").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.withColumn("before", before.cast("long")).select("path", "before")
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return files.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

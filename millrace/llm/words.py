@@ -117,3 +117,38 @@ def texts(column: pa.Array) -> Iterator[np.ndarray]:
     null = column.is_null().to_numpy(zero_copy_only=False) if column.null_count else None
     for i in range(len(column)):
         yield b[:0] if null is not None and null[i] else b[at[i] : at[i + 1]]
+
+
+def prefixes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """For each size, a hash of the first so many characters of each word of ``b`` (found with plain=True);
+    of a shorter word, of all of it."""
+    if not len(starts):
+        return [np.empty(0, dtype=np.uint64) for _ in sizes]
+    out: list[list[np.ndarray]] = [[] for _ in sizes]
+    at = 0
+    while at < len(starts):
+        to = max(int(np.searchsorted(starts, starts[at] + BLOCK)), at + 1)
+        first, last = int(starts[at]), min(int(starts[to - 1]) + 4 * max(sizes), len(b))
+        x, s = b[first:last], starts[at:to] - first
+        e = np.minimum(ends[at:to] - first, len(x))
+        char = np.flatnonzero((x & 0xC0) != 0x80)
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_PLAIN_BYTE[x] * _POW[: len(x)], dtype=np.uint64)))
+        nth = np.searchsorted(char, s)
+        for k, size in enumerate(sizes):
+            end = np.append(char, len(x))[np.minimum(nth + size, len(char))]
+            out[k].append(mixed((sums[np.minimum(end, e)] - sums[s]) * _INV[s]))
+        at = to
+    return [np.concatenate(o) for o in out]
+
+
+def slices(column: pa.Array, size: int = 1 << 19) -> Iterator[list[np.ndarray]]:
+    """The UTF-8 bytes of a string column's values, in lists of about ``size`` bytes."""
+    part, held = [], 0
+    for b in texts(column):
+        part.append(b)
+        held += len(b) + 1
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
