@@ -6,7 +6,8 @@ rarest ``n - ceil(t n) + 1`` of each (the prefix, in one order for all). The ste
 1. Every text gives its set's size and fingerprint, and counts of its n-grams go to a sketch of
    ``1 << SKETCH_BITS`` counters. Rare-first is the order of these counters, then of the n-gram's
    hash: any order is right, and frequent passages come last. Texts with the same set are one node.
-2. Prefix n-grams are counted by node; only those of two nodes or more stay.
+2. Prefix n-grams are dealt out once by n-gram; only those of two nodes or more stay, with the size of
+   their block.
 3. In a block of at most ``SMALL`` nodes the pairs that pass the length and the positional filter are
    candidates; each distinct pair is verified once, by suffix filter and then exactly.
 4. A larger block goes to one task (or, beyond ``BLOCK_GRAMS`` n-grams, is dealt into parts of which
@@ -16,6 +17,8 @@ rarest ``n - ceil(t n) + 1`` of each (the prefix, in one order for all). The ste
 5. Components are those of the links between nodes; a document's is the smallest doc_id among all
    documents of all nodes of its component.
 
+A node's name is a 64-bit hash of its set, and the set's size.
+
 Null or wordless texts have an empty set and link with nothing; fewer words than n make one n-gram.
 Rows of null doc_id link with nothing and keep a null component_id. Repeated rows are repeated.
 """
@@ -23,13 +26,14 @@ Rows of null doc_id link with nothing and keep a null component_id. Repeated row
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -37,15 +41,25 @@ from .tables import Scratch, ship
 from .words import shingle_set, texts, words
 
 SKETCH_BITS, CHUNK_BITS, SMALL, BLOCK_GRAMS = 20, 14, 64, 150_000
+#: doc_ids sent to all executors to pick their texts; more go by an exchange of the texts.
+SENT_ROWS = 2_000_000
+#: Sets a task remembers so as not to give their n-grams again for the next copy.
+COPIES = 200_000
 _SHIFT = np.uint64(64 - SKETCH_BITS)
+_NONE = np.empty(0, dtype=np.uint64)
 
 
 def _bucket(grams: np.ndarray) -> np.ndarray:
     return (grams >> _SHIFT).astype(np.int64)
 
 
-def _fingerprint(grams: np.ndarray) -> bytes:
-    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+def _hash(grams: np.ndarray) -> int:
+    """A signed 64-bit hash of a set."""
+    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "big", signed=True)
+
+
+def _node(hash_: int, n: int) -> bytes:
+    return struct.pack(">qi", hash_, n)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -182,7 +196,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
             for b in texts(batch.column(1)):
                 s = shingle_set(words(b)[2], n)
                 sizes.append(len(s))
-                nodes.append(_fingerprint(s) if len(s) else None)
+                nodes.append(_node(_hash(s), len(s)) if len(s) else None)
                 np.add.at(counts, _bucket(s), 1)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=fields)
@@ -195,33 +209,36 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     sketch = spark.sparkContext.broadcast(_sketch(measured, scratch))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = lambda x: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x[0]).view(np.int64)), pa.array(x[1], pa.binary()), pa.array(np.concatenate(x[2]))], names=["token", "node", "place"])
+        done: set[int] = set()
         for batch in batches:
             got: tuple[list, list, list] = ([], [], [])
+            size = 0
             known = batch.column(0).is_valid().to_pylist()
             for ok, b in zip(known, texts(batch.column(1)), strict=True):
-                s = shingle_set(words(b)[2], n)
-                if ok and len(s):
-                    p = rare_first(s, sketch.value, prefix_length(len(s), percent))
-                    got[0].append(p)
-                    got[1].extend([_fingerprint(s)] * len(p))
-                    got[2].append(np.arange(len(p), dtype=np.int32))
-                if len(got[1]) > 100_000:
-                    yield pack(got)
-                    got = ([], [], [])
-            if got[1]:
-                yield pack(got)
-
-    postings = scratch.keep(rows.mapInArrow(prefixes, "token long, node binary, place int"), "postings")
-    shared = postings.groupBy("token").agg(F.min(F.xxhash64("node")).alias("a"), F.max(F.xxhash64("node")).alias("b")).where("a <> b").select(F.col("token").alias("t"))
-    postings = postings.join(shared, F.col("token") == F.col("t"), "left_semi").distinct()
-    postings = scratch.keep(postings, "bare")
-    scratch.drop("postings")
-    size = measured.where("node is not null and doc_id is not null").groupBy("node").agg(F.max("n").cast("int").alias("n"))
-    postings = scratch.keep(postings.join(size, "node").select("token", "node", "n", "place"), "shared")
-    blocks = scratch.keep(postings.groupBy("token").agg(F.count("*").alias("nodes"), F.sum("n").alias("grams")), "blocks")
-    small = postings.join(blocks.where(F.col("nodes") <= SMALL).select("token"), "token", "left_semi")
-    large = postings.join(blocks.where(F.col("nodes") > SMALL), "token")
+                s = shingle_set(words(b)[2], n) if ok else _NONE
+                if not len(s) or (h := _hash(s)) in done:
+                    continue
+                if len(done) < COPIES:
+                    done.add(h)
+                p = rare_first(s, sketch.value, prefix_length(len(s), percent))
+                got[0].append(p.view(np.int64))
+                got[1].append(np.full(len(p), h))
+                got[2].append(np.arange(len(p)) + (len(s) << 32))
+                size += len(p)
+                if size > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in got], names=["token", "h", "np"])
+                    got, size = ([], [], []), 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in got], names=["token", "h", "np"])
+
+    block = Window.partitionBy("token")
+    postings = rows.mapInArrow(prefixes, "token long, h long, np long").repartition("token")
+    shared = postings.withColumns({"a": F.min("h").over(block), "b": F.max("h").over(block)}).where("a <> b").select("token", "h", "np").distinct()
+    size = F.shiftright("np", 32).cast("int")
+    named = F.concat(F.unhex(F.lpad(F.hex("h"), 16, "0")), F.unhex(F.lpad(F.hex(size), 8, "0")))
+    shared = shared.select("token", named.alias("node"), size.alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
+    shared = scratch.keep(shared.withColumns({"nodes": F.count("*").over(block), "grams": F.sum("n").over(block)}), "shared")
+    small, large = shared.where(F.col("nodes") <= SMALL), shared.where(F.col("nodes") > SMALL)
     a, b = (small.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("node", "n", "place"))) for i in (1, 2))
     ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("node1") < F.col("node2")))
     long_enough = F.col("n1") * 100 >= F.col("n2") * percent
@@ -232,19 +249,23 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     # the sets of all nodes that are to be verified, each from one of its documents
     wanted = pairs.select(F.col("node1").alias("w")).union(pairs.select("node2")).union(large.select("node")).distinct()
     one = measured.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("one"))
-    one = one.join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "one")
+    one = scratch.keep(one.join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "one"), "one")
+    if one.count() <= SENT_ROWS:
+        one = F.broadcast(one)
 
     def regain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for node, b in zip(batch.column(1).to_pylist(), texts(batch.column(0)), strict=True):
                 s = shingle_set(words(b)[2], n)
-                if _fingerprint(s) == node:
+                if _node(_hash(s), len(s)) == node:
                     kept.append((node, s.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([s for _, s in kept], pa.list_(pa.int64()))], names=["node", "grams"])
 
     texts_of = rows.join(one, F.col("doc_id") == F.col("one")).select("text", "node")
-    sets = scratch.keep(texts_of.mapInArrow(regain, "node binary, grams array<long>").dropDuplicates(["node"]), "sets")
+    sets = scratch.keep(texts_of.mapInArrow(regain, "node binary, grams array<long>"), "found-sets")
+    if sets.groupBy("node").count().where("count > 1").limit(1).count():  # a doc_id came more than once with one text
+        sets = scratch.keep(sets.dropDuplicates(["node"]), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,7 +282,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
         within = dealt.join(sets, "node").groupBy("token", "p", "q").applyInArrow(_block_links(sketch, percent), "u binary, v binary")
         found = found.union(scratch.keep(within, "within"))
     roots = scratch.keep(components(found, scratch), "roots")
-    scratch.drop("bare", "shared", "blocks", "pairs", "sets", "found", "within")
+    scratch.drop("shared", "one", "pairs", "found-sets", "sets", "found", "within")
 
     documents = measured.where("chunk is null").select("doc_id", "n", "node")
     least = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")

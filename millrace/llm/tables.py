@@ -10,6 +10,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which a query's shuffle files go when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where it is unset (as in tests), one made here."""
@@ -45,16 +48,21 @@ class Scratch:
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        """Write a table; the shuffle files of this are removed once it is there."""
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def drop(self, *names: str) -> None:
-        """Delete tables that nothing reads any more, and let Spark clear finished shuffles."""
+        """Delete tables that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
             p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
             p.getFileSystem(conf).delete(p, True)
-        jvm.System.gc()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
