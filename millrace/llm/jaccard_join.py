@@ -295,6 +295,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id. Rows of null doc_id stay."""
-    kept = join(docs, n, percent, doc_id, text).where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(doc_id).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """``docs`` with one document of each component, that of the smallest doc_id. Rows of null doc_id stay;
+    so do all rows of a doc_id that one of its rows keeps."""
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    alone = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = join(docs, n, percent, doc_id, text).where("doc_id is not null").groupBy("doc_id").agg(alone.alias("__stays")).where("not __stays").select(F.col("doc_id").alias("__gone"))
+    gone = scratch.keep(gone, "gone")
+    if gone.count() <= SENT_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
