@@ -37,7 +37,7 @@ from .tables import Scratch, ship
 from .units import gather
 from .words import mixed, prefixes, slices, words
 
-SAMPLE, SAMPLE_WORDS, TOP = 3000, 1_000_000, 3
+SAMPLE, SAMPLE_WORDS, TOP = 3000, 500_000, 3
 #: Words of a class's sample that are one in so many are dealt out by the word before them as well.
 HOT_SHARE, SALTS = 1000, 64
 #: Different pairs of words that a task gathers before it sends them on.
