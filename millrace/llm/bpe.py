@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from .tables import held
 from .units import BLOCK, Units, gather
 from .words import slices
 
@@ -140,10 +141,9 @@ class Bpe:
         return self.decoded(np.array(list(ids), dtype=np.int64)).decode("utf-8", "replace")
 
 
-@lru_cache(2)
 def load(path: str) -> Bpe:
     """One encoder for each worker process."""
-    return Bpe(path)
+    return held(("bpe", path), lambda: Bpe(path))
 
 
 def encode_documents(docs: DataFrame, vocab: str, text: str = "text", ids: str = "ids") -> DataFrame:

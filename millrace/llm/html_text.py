@@ -193,7 +193,7 @@ class Weights:
                     self._move(page, bad, first, last, 1.0)
             if r >= rounds // 2:
                 total.update(self.of)
-        self.of = {k: x / (rounds - rounds // 2) for k, x in total.items()}
+        self.of = {k: x / (rounds - rounds // 2) if "<" in k else max(x / (rounds - rounds // 2), LEAST) for k, x in total.items()}
 
     @staticmethod
     def _marked(page: str) -> tuple[Page, tuple[int, int]]:

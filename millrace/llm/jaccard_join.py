@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Scratch, ship
+from .tables import Scratch, let_go, ship
 from .words import shingle_set, texts, words
 
 SKETCH_BITS, CHUNK_BITS, SMALL, BLOCK_GRAMS = 20, 14, 64, 150_000
@@ -190,6 +190,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts, part = np.zeros(1 << SKETCH_BITS, dtype=np.int64), TaskContext.get().partitionId()
         for batch in batches:
             sizes, nodes = [], []
@@ -209,6 +210,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     sketch = spark.sparkContext.broadcast(_sketch(measured, scratch))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         done: set[int] = set()
         for batch in batches:
             got: tuple[list, list, list] = ([], [], [])

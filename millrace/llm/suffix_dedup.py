@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .tables import Scratch, ship
+from .tables import Scratch, let_go, ship
 from .words import gram_hashes, mixed, texts, words
 
 LEAST, GRAM = 50, 12
@@ -211,6 +211,7 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     ship(spark)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], [], []]
             for doc, b in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
@@ -236,6 +237,7 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     lists = wanted.groupBy("first").agg(F.collect_list(F.struct("kg", "ctx", "last")).alias("wanted"))
 
     def regain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, b, w in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2), strict=True):

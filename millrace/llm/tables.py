@@ -42,6 +42,22 @@ def ship(spark: SparkSession) -> None:
     context._millrace_shipped = True
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """The one large thing that a worker keeps from task to task; that of another key goes."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Called by tasks that keep nothing."""
+    _HELD.clear()
+
+
 class Scratch:
     """Parquet tables under a folder of their own; each cuts lineage and survives lost executors."""
 

@@ -23,7 +23,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import Scratch
+from .tables import Scratch, held
 from .units import Units, gather
 from .words import slices
 
@@ -108,9 +107,8 @@ class LibraryEncoder:
         return self.encode_all([np.frombuffer(t.encode(), dtype=np.uint8) for t in texts])
 
 
-@lru_cache(2)
 def encoder(vocab: str) -> LibraryEncoder:
-    return LibraryEncoder(vocab)
+    return held(("library", vocab), lambda: LibraryEncoder(vocab))
 
 
 class Writer:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .tables import Scratch, ship
+from .tables import Scratch, let_go, ship
 from .units import gather
 from .words import mixed, prefixes, slices, words
 
@@ -296,6 +296,7 @@ def corpus_counts(docs: DataFrame, scratch: Scratch, hot: np.ndarray | None = No
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["bucket", "pairs"])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         got = _Pairs()
         for batch in batches:
             for part in slices(batch.column(0)):
@@ -323,6 +324,7 @@ def corpus_counts(docs: DataFrame, scratch: Scratch, hot: np.ndarray | None = No
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket; several buckets are counted together."""
+        let_go()
         got, last, apart = _Pairs(), None, 0
         for batch in batches:
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -16,7 +16,7 @@ from .words import mixed
 
 #: Distinct units a worker remembers (the first it meets; others are encoded again), the longest of
 #: them in bytes, and bytes handled together.
-CACHE_UNITS, CACHE_BYTES, BLOCK = 600_000, 64, 1 << 19
+CACHE_UNITS, CACHE_BYTES, BLOCK = 500_000, 64, 1 << 19
 
 _BYTE = np.random.default_rng(41).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15
