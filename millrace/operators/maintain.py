@@ -8,15 +8,16 @@ import time
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.store import Store
+from ..config import Config
+from ..sources.store import BASE_EVERY, Store
 
 SMALL_BYTES, LEAST_FILES, KEEP_HOURS, KEEP_LAST = 128 << 20, 3, 24, 5
 
 
 def last_wins(df: DataFrame, pk: list[str], *order: str) -> DataFrame:
     """One row a key: the last by ``order``."""
-    w = Window.partitionBy(*pk).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    last = F.max_by(F.struct(*df.columns), F.struct(*order))  # combined before the shuffle
+    return df.groupBy(*[F.col(c).alias(f"__{i}") for i, c in enumerate(pk)]).agg(last.alias("__last")).select("__last.*")
 
 
 def small_files(files: DataFrame, below: int = SMALL_BYTES, least: int = LEAST_FILES, group: list[str] | None = None) -> DataFrame:
@@ -34,52 +35,72 @@ def expired(snapshots: DataFrame, now_ms, hours: int = KEEP_HOURS, keep: int = K
 
 
 def deduplicate(store: Store) -> int | None:
-    """Rewrite the table with one row a key: the one of the highest commit."""
+    """Rewrite the table with one row a key: the one of the highest commit, in it the last one written."""
 
     def plan():
-        rows = store._rows()
-        new = store._write(last_wins(rows, store.pk, "__seq").select(*store.schema.names), "data")
+        new = store._write(last_wins(store._rows(), store.pk, "__seq", "__file", "__row").select(*store.schema.names), "data")
         return [(new, "data")], [a["folder"] for a in store.live()]
 
     return store.commit("replace", plan)
 
 
 def merge_small(store: Store, below: int = SMALL_BYTES, least: int = LEAST_FILES) -> int | None:
-    """Merge the commit folders whose files are small, those rows alone, with deletes applied."""
-    sizes = store.files().groupBy("folder").agg(F.max("size").alias("size")).where(F.col("size") < below)
-    folders = [r["folder"] for r in sizes.collect()]  # one row a commit folder
-    if len(folders) < least:
+    """Merge the small files, their rows alone, with deletes applied, into files of about ``below`` bytes.
+    Equality deletes that then precede all live data are dropped."""
+    found = small_files(store.files().withColumn("table", F.lit("")), below, least).select("path", "size").collect()  # one row a small file
+    if not found:
         return None
+    size = {r["path"]: r["size"] for r in found}
 
     def plan():
-        live = {a["folder"] for a in store.live()}
-        some = [f for f in folders if f in live]
-        rows = store._rows().where(F.col("__folder").isin(some)).select(*store.schema.names)
-        return [(store._write(rows, "data", files=1), "data")], some
+        live = store.live()
+        there = {f for a in live if a["kind"] == "data" for f, _ in store._files(a["folder"]) if f not in a.get("without", ())}
+        some = sorted(there & {*size})
+        rows = store._rows(files=some).select(*store.schema.names)
+        new = store._write(rows, "data", files=max(1, sum(size[f] for f in some) // below))
+        left = [a["seq"] for a in live if a["kind"] == "data" and any(f not in size for f, _ in store._files(a["folder"]) if f not in a.get("without", ()))]
+        return [(new, "data")], some + [a["folder"] for a in live if a["kind"] == "delete" and a["seq"] <= min(left, default=a["seq"])]
 
     return store.commit("replace", plan)
 
 
 def expire(store: Store, now_ms: int | None = None, hours: int = KEEP_HOURS, keep: int = KEEP_LAST) -> list[int]:
-    """Prune old snapshots: what they left live goes into the oldest that stays; folders that no snapshot
-    has any more are deleted. Gives the pruned versions."""
+    """Prune old snapshots: what they left live goes into a base at the oldest that stays; folders that no
+    snapshot has any more are deleted. Gives the pruned versions. Where it is lost midway, the base
+    already stands for what it prunes, and the next expiry deletes what this one left."""
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     all_ = store.snapshots()
-    out = [s for s in all_[: max(len(all_) - keep, 0)] if s.at_ms < now_ms - hours * 3_600_000]
-    if not out:
+    if not all_:
         return []
-    oldest = all_[len(out)]
-    carried = store.live(oldest.version)
-    before = {a["folder"] for s in all_ for a in s.added}
-    entry = {**oldest.__dict__, "added": carried, "removed": []}
-    p = store._Path(f"{store.path}/log/{oldest.version:012d}.json")
-    tmp = f"log/{oldest.version:012d}.json.new"
-    store._create_file(tmp, json.dumps(entry))
-    store.fs.delete(p, False)
-    store.fs.rename(store._Path(f"{store.path}/{tmp}"), p)
-    for s in out:
-        store.fs.delete(store._Path(f"{store.path}/log/{s.version:012d}.json"), False)
+    rows = store.spark.createDataFrame([("", s.version, s.at_ms) for s in all_], "`table` string, version long, at_ms long")
+    out = sorted(r["version"] for r in expired(rows, now_ms, hours, keep).select("version").collect())
+    if out:
+        store.put_base(next(s.version for s in all_ if s.version > out[-1]))
+    sweep(store)
+    return out
+
+
+def sweep(store: Store) -> None:
+    """Delete log entries that a base stands for, and the folders that only these have."""
+    base = next((s.version for s in store.snapshots()), 0)
+    names = [s.getPath().getName() for s in store.fs.listStatus(store._Path(f"{store.path}/log"))]
+    old = [n for n in names if n.endswith(".json") and (int(n[:12]) < base or (int(n[:12]) == base and f"{base:012d}.base.json" in names and not n.endswith(".base.json")))]
+    seen = {a["folder"] for n in old for a in json.loads(store._read_file(f"log/{n}"))["added"]}
     kept = {a["folder"] for s in store.snapshots() for a in s.added}
-    for folder in before - kept:
+    for folder in seen - kept:
         store.fs.delete(store._Path(f"{store.path}/{folder}"), True)
-    return [s.version for s in out]
+    for n in old:
+        store.fs.delete(store._Path(f"{store.path}/log/{n}"), False)
+
+
+def compact(store: Store, config: Config, now_ms: int | None = None) -> dict:
+    """The compaction of one table, as its settings ask: old snapshots go, one row a key stays (or, without
+    that, small files are merged), and the log gets a base."""
+    out: dict = {"expired": expire(store, now_ms)}
+    if config.compact_dedup and store.pk:
+        out["deduplicated"] = deduplicate(store)
+    elif config.compact_small_files:
+        out["merged"] = merge_small(store, config.compact_file_bytes)
+    if len(store.snapshots()) > BASE_EVERY:
+        store.put_base(store.snapshots()[-KEEP_LAST].version)
+    return out
