@@ -27,12 +27,13 @@ class Config:
     slice_rows: int = 100_000
     strict_fold: bool = False
     attempts_before_dead_letter: int = 3
+    tables_at_once: int = 4
 
     def __post_init__(self) -> None:
         for name, allowed in (("write_mode", WRITE_MODES), ("cow_mode", COW_MODES), ("source_cleanup", CLEANUPS)):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {', '.join(allowed)}, not {getattr(self, name)!r}")
-        for name in ("max_files_per_trigger", "trigger_seconds", "compact_interval_seconds", "compact_file_bytes", "slice_rows", "attempts_before_dead_letter"):
+        for name in ("max_files_per_trigger", "trigger_seconds", "compact_interval_seconds", "compact_file_bytes", "slice_rows", "attempts_before_dead_letter", "tables_at_once"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
 

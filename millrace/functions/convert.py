@@ -39,7 +39,9 @@ def to_long(v: Column) -> Column:
     """A whole number, also one written with an exponent or zero fraction; else what is before the first point."""
     t = _trim(v)
     whole = F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("bigint"))
-    exact = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("decimal(38,18)"))
+    #: A decimal holds 18 digits after the point; one with more that aren't zeros is no whole number.
+    plain = F.regexp_replace(t, r"(\.\d*?)0+$", "$1")
+    exact = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") & ~plain.rlike(r"\.\d{19,}"), t.try_cast("decimal(38,18)"))
     head = F.substring_index(t, ".", 1)
     cut = F.when(t.contains(".") & head.rlike(r"^[+-]?\d+$"), head.try_cast("bigint"))
     return F.coalesce(whole, F.when(exact == F.floor(exact), exact.try_cast("bigint")), cut)

@@ -15,6 +15,8 @@ ROW_SPAN = 1_000_000
 #: The column that may name a row's own operation.
 CONTROL = "mergercolkeyname"
 PACKET = "pkt_seq long, owner string, table string, op_type string, rows array<struct<row_no: int, cols: array<struct<name: string, value: string, cflag: int>>>>"
+#: An event may also be no data (kind: data or null, ddl, source_ddl, sql, ...); DDL events define a table.
+EVENT = PACKET + ", kind string, ddl struct<pk_column_no: array<int>, columns: array<struct<name: string, column_type: int, column_no: int, length: string, precision: string, number_type: int, source_type: int, added: boolean, comment: string>>>"
 
 
 def table_key(owner: Column, table: Column) -> Column:
@@ -45,8 +47,9 @@ def operation(op_type: Column, control: Column) -> Column:
 def image(cols: Column, before: bool) -> Column:
     """The cells of one image as a map from lower-case name to value; the last of a name counts."""
     wanted = F.filter(cols, lambda c: (c["cflag"].bitwiseAND(1) == (1 if before else 0)) & c["name"].isNotNull())
-    last = F.aggregate(wanted, F.create_map().cast("map<string,string>"), lambda m, c: F.map_concat(F.map_filter(m, lambda k, v: k != F.lower(c["name"])), F.create_map(F.lower(c["name"]), c["value"])))
-    return F.when(F.size(wanted) > 0, last)
+    names = F.transform(wanted, lambda c: F.lower(c["name"]))
+    last = F.filter(F.zip_with(wanted, F.sequence(F.lit(1), F.size(wanted)), lambda c, i: F.struct(F.lower(c["name"]).alias("k"), c["value"].alias("v"), i.alias("i"))), lambda x: F.array_position(F.reverse(names), x["k"]) == F.size(names) - x["i"] + 1)
+    return F.when(F.size(wanted) > 0, F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"]))))
 
 
 def typed(img: Column, schema: StructType, names: dict[str, str] | None = None) -> Column:

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 STATES = "NIUD"
 #: What an operation makes of each of STATES.
 STEP = {"I": "IIIU", "U": "UIUU", "D": "DNDD"}
-#: Runs of the log that a key is folded in before the runs are composed; a hot key is spread over so many tasks.
-RUNS = 64
 
 
 def _apply(op: Column, state: Column) -> Column:
@@ -27,15 +25,16 @@ def _place(state: Column) -> Column:
     return F.when(state == "N", 1).when(state == "I", 2).when(state == "U", 3).otherwise(4)
 
 
-def states(log: DataFrame, keys: list[str], seq: str = "seq", op: str = "op", runs: int = RUNS, strict: bool = False, **last: str) -> DataFrame:
+def states(log: DataFrame, keys: list[str], seq: str = "seq", op: str = "op", runs: int | None = None, strict: bool = False, **last: str) -> DataFrame:
     """keys, state, last_seq, and for each name in ``last`` the value of that column at the last operation.
 
-    Each run of the log (a range of ``seq``) is folded on its own into the state that it leads to from
-    each of the four, so a key's whole log never meets in one list; the runs' maps then compose.
+    The log is range-partitioned by ``seq`` (into ``runs`` partitions, by default as many as shuffles
+    have), so that runs hold about as many rows whatever the numbers. Each run is folded where it is
+    into the state that it leads to from each of the four; a key's whole log never meets in one list.
+    The runs' maps, one row a key and run, then compose. No job runs before the result is asked for.
     """
-    lo, hi = log.agg(F.min(seq), F.max(seq)).first()
-    width = ((hi or 0) - (lo or 0)) // runs + 1
-    dealt = log.withColumn("__run", F.floor((F.col(seq) - F.lit(lo or 0)) / F.lit(width)))
+    dealt = log.repartitionByRange(runs, seq) if runs else log.repartitionByRange(seq)
+    dealt = dealt.withColumn("__run", F.spark_partition_id())
     order = lambda c: F.array_sort(F.collect_list(c))
     carried = [F.max_by(c, seq).alias(f"__{n}") for n, c in last.items()]
     parts = dealt.groupBy(*keys, "__run").agg(order(F.struct(F.col(seq).alias("s"), F.col(op).alias("o"))).alias("ops"), F.max(seq).alias("__seq"), *carried)
@@ -68,9 +67,9 @@ def slices(log: DataFrame, size: int, seq: str = "seq") -> DataFrame:
     return log.withColumn("slice", F.floor(F.col(seq) / F.lit(size)).cast("long"))
 
 
-def folded_slices(log: DataFrame, keys: list[str], seq: str = "seq", op: str = "op", **last: str) -> DataFrame:
+def folded_slices(log: DataFrame, keys: list[str], seq: str = "seq", op: str = "op", strict: bool = False, **last: str) -> DataFrame:
     """Slice by slice, the last slice that does something to a key decides: keys, state and carried values."""
-    each = states(log, [*keys, "slice"], seq, op, **last)
+    each = states(log, [*keys, "slice"], seq, op, strict=strict, **last)
     what = F.struct("state", "last_seq", *last)
     done = each.where("state <> 'N'").groupBy(*keys).agg(F.max_by(what, "slice").alias("w"))
     return done.select(*keys, "w.*")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import Store
+
 
 def rows_per_table(log: DataFrame) -> DataFrame:
     return log.groupBy("table").agg(F.sum("rows").cast("long").alias("rows"))
@@ -44,3 +49,25 @@ def idle_flushes(log: DataFrame, at_ms: str, idle_ms: int, tie: str) -> DataFram
 def to_json(per_table: DataFrame) -> DataFrame:
     """One JSON document a table."""
     return per_table.select(F.to_json(F.struct(F.col("table").alias("tableName"), F.col("rows").alias("rowsProcessed"))).alias("json"))
+
+
+def base_table(key: Column) -> Column:
+    """db.table of db.table.worker."""
+    return F.substring_index(key, ".", 2)
+
+
+def report(spark: SparkSession, stores: dict[str, Store], pending: dict[str, int] | None = None, queries: dict | None = None) -> str:
+    """One JSON document: the system, the engine's queries, and the tables in the order of their names."""
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    used, most = runtime.totalMemory() - runtime.freeMemory(), runtime.maxMemory()
+    system = {"timestamp": int(time.time() * 1000), "heapUsedBytes": used, "heapMaxBytes": most, "heapUsedPercent": round(100 * used / most, 1), "processors": runtime.availableProcessors()}
+    tables = []
+    for key, store in sorted(stores.items()):
+        s = store.snapshots()
+        rows = sum(a.get("rows") or 0 for x in s for a in x.added if a["kind"] == "data")
+        waiting = (pending or {}).get(key, 0)
+        rate = None
+        if len(s) > 1 and s[-1].at_ms > s[-2].at_ms:
+            rate = sum(a.get("rows") or 0 for a in s[-1].added if a["kind"] == "data") * 1000 // (s[-1].at_ms - s[-2].at_ms)
+        tables.append({"tableName": key, "rowsProcessed": rows, "rowsPending": waiting, "rowsTotal": rows + waiting, "throughputPerSec": rate, "lastWriteMs": s[-1].at_ms if s else None, "snapshots": len(s), "version": s[-1].version if s else 0})
+    return json.dumps({"system": system, "engine": {"queries": queries or {}, "tables": len(tables)}, "tables": tables})

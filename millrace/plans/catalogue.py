@@ -6,14 +6,19 @@ changes to customers.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from ..config import Config
 from ..functions import convert, types
 from ..operators import apply, classify, decode, fold, maintain, metrics
 from ..sources import dictionary
+from ..sources.store import Store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -460,6 +465,87 @@ def expire_snapshots(spark, sf_dir):
     return maintain.expired(s, 1893456000000, group=["tbl"])
 
 
+# -- through a table on disk
+
+
+def _store(spark, name: str) -> Store:
+    """A new table of (pk, v) in the shared folder (or, on a single machine, a temporary one)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="millrace-")
+    store = Store(spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    store.create(StructType([StructField("pk", LongType()), StructField("v", DoubleType())]), ["pk"])
+    return store
+
+
+def _loaded(spark, sf_dir, name: str) -> Store:
+    store = _store(spark, name)
+    store.append(_customers(spark, sf_dir).select(F.col("pk").cast("long").alias("pk"), F.col("v").cast("double").alias("v")), full_load=True)
+    return store
+
+
+def _ops(spark, sf_dir) -> DataFrame:
+    """The log of orders as operations on (pk, v)."""
+    row = F.struct(F.col("pk").cast("long").alias("pk"), F.col("v").cast("double").alias("v"))
+    old, new = F.when(F.col("op") != "I", row), F.when(F.col("op") != "D", row)
+    return log_o(spark, sf_dir).select("op", old.alias("old"), new.alias("new"), F.col("seq").alias("pkt_seq"), F.lit(0).alias("row_no"), F.lit(0).alias("sub_no"), F.lit(False).alias("full_load"))
+
+
+def _applied_to(spark, sf_dir, name: str, **settings) -> Store:
+    store = _loaded(spark, sf_dir, name)
+    apply.apply_batch(store, _ops(spark, sf_dir), Config(write_mode="transaction", slice_rows=10**9, **settings), "1")
+    return store
+
+
+@query(f"WITH {FOLDED_O} {MIRROR}")
+def store_row_delta(spark, sf_dir):
+    """A full load and a batch of changes, read through the table's equality deletes."""
+    return _applied_to(spark, sf_dir, "row-delta").read()
+
+
+@query(f"WITH {FOLDED_O} {MIRROR}")
+def store_copy_on_write(spark, sf_dir):
+    """The same, with the files rewritten that hold a changed key."""
+    return _applied_to(spark, sf_dir, "copy-on-write", cow_mode="batch").read()
+
+
+@query(f"WITH {FOLDED_O} {MIRROR}")
+def store_compacted(spark, sf_dir):
+    """The same after merging small files, dropping all but the last row of a key, and expiry."""
+    store = _applied_to(spark, sf_dir, "compacted")
+    maintain.merge_small(store, least=1)
+    maintain.compact(store, Config(write_mode="transaction", compact_dedup=True), now_ms=10**15)
+    return store.read()
+
+
+@query(f"WITH {FOLDED_O} {MIRROR}")
+def store_expired(spark, sf_dir):
+    """The same after pruning all snapshots but the last two."""
+    store = _applied_to(spark, sf_dir, "expired")
+    store.append(store.read().limit(0))
+    maintain.expire(store, now_ms=10**15, keep=2)
+    return store.read()
+
+
+@query("SELECT CAST(c_custkey AS BIGINT) AS pk, CAST(c_acctbal AS DOUBLE) AS v FROM customer")
+def store_full_load(spark, sf_dir):
+    """Full-load packets as one plain append."""
+    ops = _customers(spark, sf_dir).select(F.lit("I").alias("op"), F.lit(None).cast("struct<pk:bigint,v:double>").alias("old"), F.struct(F.col("pk").cast("long").alias("pk"), F.col("v").cast("double").alias("v")).alias("new"), F.col("pk").cast("long").alias("pkt_seq"), F.lit(0).alias("row_no"), F.lit(0).alias("sub_no"), F.lit(True).alias("full_load"))
+    store = _store(spark, "full-load")
+    apply.apply_batch(store, ops, Config(write_mode="transaction"), "1")
+    return store.read()
+
+
+@query(f"WITH n AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS n FROM ({O_SQL})), g AS (SELECT pk, n // 700 AS slice, {FOLD} AS state, arg_max(v, seq) AS v FROM n GROUP BY pk, slice), f AS (SELECT pk, arg_max(state, slice) AS state, arg_max(v, slice) AS v FROM g WHERE state <> 'N' GROUP BY pk) {MIRROR}")
+def store_slices(spark, sf_dir):
+    """A batch larger than a slice, folded slice by slice."""
+    store = _loaded(spark, sf_dir, "slices")
+    apply.apply_batch(store, _ops(spark, sf_dir), Config(write_mode="transaction", slice_rows=700), "1")
+    return store.read()
+
+
 # -- metrics and triggers
 
 

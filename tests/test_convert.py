@@ -40,3 +40,9 @@ def test_schema_of_a_dictionary_table():
     s = types.schema_of(t, True)
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in s] == [("id", "decimal(12,0)", False), ("x", "decimal(5,5)", True), ("f", "decimal(10,10)", True), ("b", "boolean", True), ("added", "string", True)]
     assert "busi_date" in types.schema_of(t, False, "busi_date").names and types.schema_of(t, False)["id"].nullable
+
+
+def test_many_fraction_digits_are_cut_not_rounded(spark):
+    cases = {"11.9999999999999999999": 11, "11.00000000000000000000": 11, "-0.00000000000000000001": 0, "5.": 5, "1.5e1": 15}
+    df = spark.createDataFrame([(k,) for k in cases], "v string")
+    assert {r.v: r.x for r in df.select("v", convert.to_long(df.v).alias("x")).collect()} == cases

@@ -35,3 +35,16 @@ def test_empty_log(spark):
 def test_null_key_and_composite_key(spark):
     log = spark.createDataFrame([(1, None, 0, "I"), (1, "a", 1, "D"), (1, None, 2, "U")], "a long, b string, seq long, op string")
     assert {(r.a, r.b): r.state for r in fold.states(log, ["a", "b"]).collect()} == {(1, None): "I", (1, "a"): "D"}
+
+
+def test_one_key_in_all_rows_and_clustered_numbers(spark):
+    log = spark.range(20_000).selectExpr("1 as k", "case when id < 19_990 then id else 1000000000 * id end as seq", "case id % 3 when 0 then 'I' when 1 then 'U' else 'D' end as op").repartition(7)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building the plan")
+    folded = fold.states(log, ["k"], op="op", v="seq")
+    assert not tracker.getJobIdsForGroup("building")
+    state = "N"
+    for i in range(20_000):
+        state = dict(zip(fold.STATES, fold.STEP["IUD"[i % 3]], strict=True))[state]
+    r = folded.collect()
+    assert [(x.state, x.last_seq, x.v) for x in r] == [(state, 19_999 * 1_000_000_000, 19_999 * 1_000_000_000)]
