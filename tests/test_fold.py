@@ -38,7 +38,7 @@ def test_null_key_and_composite_key(spark):
 
 
 def test_one_key_in_all_rows_and_clustered_numbers(spark):
-    log = spark.range(20_000).selectExpr("1 as k", "case when id < 19_990 then id else 1000000000 * id end as seq", "case id % 3 when 0 then 'I' when 1 then 'U' else 'D' end as op").repartition(7)
+    log = spark.range(20_000).selectExpr("1 as k", "case when id < 19990 then id else 1000000000 * id end as seq", "case id % 3 when 0 then 'I' when 1 then 'U' else 'D' end as op").repartition(7)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "building the plan")
     folded = fold.states(log, ["k"], op="op", v="seq")
