@@ -26,6 +26,8 @@ from . import vectors
 from .tables import Scratch, ship
 
 SAMPLE, NEIGHBOURS, PARTITIONS, RECALL = 10_000, 10, 16, 0.96
+#: A partition for so many rows, PARTITIONS at least and so many at most (the sample has about 80 rows of each).
+ROWS_A_PARTITION, MOST = 8192, 128
 FOUND = "query string, query_id long, vec_id long, score double"
 
 
@@ -159,12 +161,12 @@ def search(df: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", v
     scratch = Scratch(spark, "ann-search")
     nonzero = F.exists("vec", lambda x: x != 0)
     rows = scratch.keep(vectors.clean(df, vec_id, vector).where(nonzero), "rows")
-    dims = [r["dim"] for r in rows.groupBy("dim").count().orderBy(F.desc("count")).limit(64).collect()]
+    dims = [(r["dim"], r["count"]) for r in rows.groupBy("dim").count().orderBy(F.desc("count")).limit(64).collect()]
     routers: dict[int, Router] = {}
-    for dim in dims:  # one router for each vector length; lengths beyond these share one partition
+    for dim, n in dims:  # one router for each vector length; lengths beyond these share one partition
         got = rows.where(F.col("dim") == dim).orderBy("key").limit(sample).select("vec").toArrow()
         x = np.array(got.column("vec").combine_chunks().flatten(), dtype=np.float64).reshape(got.num_rows, -1)
-        routers[dim] = learn(x, k=k)
+        routers[dim] = learn(x, parts=min(max(PARTITIONS, n // ROWS_A_PARTITION), MOST), k=k)
     shared = spark.sparkContext.broadcast(routers)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Scratch, let_go, ship
+from .tables import Scratch, apart, let_go, ship
 from .words import shingle_set, texts, words
 
 SKETCH_BITS, CHUNK_BITS, SMALL, BLOCK_GRAMS = 20, 14, 64, 150_000
@@ -305,4 +305,4 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_
     gone = scratch.keep(gone, "gone")
     if gone.count() <= SENT_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
+    return apart(docs, [doc_id, text], lambda d: d.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti"))

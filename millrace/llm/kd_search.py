@@ -5,13 +5,15 @@ median of its widest dimension down to leaves of ``LEAF`` rows and keeps each no
 walks it best first: the queue is ordered by the largest inner product that a box allows, and a node
 whose bound is below the kth score so far ends the walk. Each query first meets its home shard; the
 kth score found there goes with it to all other shards. A bound equal to the kth score is followed,
-since ties go to smaller ids. Nulls and repeated rows: see ``vectors``. Fewer than k candidates give
+since ties go to smaller ids. Products are exact: in doubles as long as these hold every sum, else in
+whole numbers of any size. Nulls and repeated rows: see ``vectors``. Fewer than k candidates give
 fewer rows, an empty table none.
 """
 
 from __future__ import annotations
 
 import heapq
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from . import vectors
 from .tables import Scratch, ship
 
 SCALE, LEAF = 256, 128
-FOUND = "query string, query_id long, vec_id long, score double"
+FOUND = "query string, query_id long, vec_id long, score decimal(38,0)"
 
 
 class Tree:
@@ -53,14 +55,25 @@ class Tree:
         self.low, self.high = np.array(self.lo), np.array(self.hi)
         self.points = [x[r] for r in self.rows]
         self.ids = [ids[r] for r in self.rows]
+        self.largest = float(np.abs(x).max()) if x.size else 0.0
 
     def bounds(self, q: np.ndarray) -> np.ndarray:
         """The largest inner product of each query (row) with any point of each node's box."""
         return np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T
 
+    def _whole(self, leaf: int) -> np.ndarray:
+        return np.array([[int(v) for v in row] for row in self.points[leaf]], dtype=object)
+
     def search(self, q: np.ndarray, bound: np.ndarray, own: int, k: int, kth: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the query's k best here that may still count, given a kth score from elsewhere."""
         ids, scores = np.empty(0, dtype=np.int64), np.empty(0)
+        #: Beyond 2^53 doubles don't hold the sums: then in whole numbers, and bounds with room for rounding.
+        slack = float(np.abs(q).sum()) * self.largest
+        exact = slack < 2.0**53
+        whole = None
+        if not exact:
+            whole = np.array([int(v) for v in q], dtype=object)
+            bound, scores = bound + slack * 1e-12, scores.astype(object)
         queue = [(-bound[0], 0)]
         while queue:
             b, node = heapq.heappop(queue)
@@ -71,12 +84,12 @@ class Tree:
                     if bound[c] >= kth:
                         heapq.heappush(queue, (-bound[c], c))
                 continue
-            s, i = self.points[leaf] @ q, self.ids[leaf]
+            s, i = self.points[leaf] @ q if exact else self._whole(leaf) @ whole, self.ids[leaf]
             good = (s >= kth) & (i != own)
             if good.any():
                 ids, scores = np.concatenate((ids, i[good])), np.concatenate((scores, s[good]))
                 if len(ids) > k:
-                    keep = np.lexsort((ids, -scores))[:k]
+                    keep = np.lexsort((ids, -scores))[:k] if exact else np.array(sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k])
                     ids, scores = ids[keep], scores[keep]
                 if len(ids) >= k:
                     kth = max(kth, scores.min())
@@ -90,12 +103,12 @@ def _cell(k: int):
             matrix = lambda t, c: np.array(t.column(c).combine_chunks().flatten(), dtype=np.float64).reshape(t.num_rows, -1)
             tree, q = Tree(matrix(left, "vec"), np.array(left.column("vec_id"))), matrix(right, "q_vec")
             for i, (key, own, kth) in enumerate(zip(*(right.column(c).to_pylist() for c in ("q_key", "q_vec_id", "q_kth")), strict=True)):
-                ids, scores = tree.search(q[i], tree.bounds(q[i : i + 1])[0], own, k, -np.inf if kth is None else kth)
+                ids, scores = tree.search(q[i], tree.bounds(q[i : i + 1])[0], own, k, -np.inf if kth is None else int(kth))
                 out["query"] += [key] * len(ids)
                 out["query_id"] += [own] * len(ids)
                 out["vec_id"] += ids.tolist()
-                out["score"] += scores.tolist()
-        return pa.table(out, schema=pa.schema([("query", pa.string()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
+                out["score"] += [Decimal(int(x)) for x in scores]
+        return pa.table(out, schema=pa.schema([("query", pa.string()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.decimal128(38, 0))]))
 
     return run
 
@@ -111,7 +124,7 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", ve
     plan = F.broadcast(counts.select("dim", vectors.cells_of(F.col("n"), vectors.CELL_ROWS).alias("shards"), vectors.cells_of(F.col("q"), vectors.CELL_QUERIES).alias("blocks")))
     dealt = rows.join(plan, "dim").withColumns({"shard": vectors.spread(F.col("key"), F.col("shards")), "block": vectors.spread(F.col("key"), F.col("blocks"))})
     data = dealt.drop("block", "is_query").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    queries = dealt.where("is_query").withColumnRenamed("shard", "home").withColumn("kth", F.lit(None).cast("double"))
+    queries = dealt.where("is_query").withColumnRenamed("shard", "home").withColumn("kth", F.lit(None).cast("decimal(38,0)"))
     cell = ["dim", "shard", "block"]
     columns = [*cell, "key", "vec_id", "vec"]
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from .tables import Scratch
+from .tables import Scratch, apart
 
 CAP, WEIGHTS, FRACTION = 3, 3, 26
 _WHITE = " \\t\\n\\x0B\\f\\r"
@@ -119,6 +119,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     d = decisions(docs, doc_id, text, source)
     alike = d.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).where("__copies > 0")
     alike = alike.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"), "__copies", "__rows")
+    return apart(docs, [doc_id, text, source], lambda d: _taken(d, alike, doc_id, text, source))
+
+
+def _taken(docs: DataFrame, alike: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
     keyed = docs.withColumn("__size", n_words(F.col(text)))
     out = keyed.join(alike, F.col(doc_id).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__of")))
     one = out.where("__rows = 1").withColumn("__n", F.col("__copies"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .tables import Scratch, let_go, ship
+from .tables import Scratch, apart, let_go, ship
 from .words import gram_hashes, mixed, texts, words
 
 LEAST, GRAM = 50, 12
@@ -307,6 +307,10 @@ def repeats(docs: DataFrame) -> DataFrame:
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated passages that an earlier document has; ``n_chars``, where there is
     such a column, follows. A document of which nothing is left goes. Others stay byte for byte."""
+    return apart(docs, ["doc_id", "text", "n_chars"], _cut)
+
+
+def _cut(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     found = _spans(docs, scratch).where(F.size("later") > 0).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("later").alias("__later"))
     found = scratch.keep(found, "found")

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +88,11 @@ class Scratch:
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def apart(docs: DataFrame, used: list[str], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` on a table whose columns other than ``used`` bear names that nothing clashes with; they get
+    their own back. ``run`` keeps the columns and their order."""
+    columns = docs.columns
+    out = run(docs.toDF(*(c if c in used else f"__column_{i}__" for i, c in enumerate(columns))))
+    return out.toDF(*columns)

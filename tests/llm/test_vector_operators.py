@@ -59,3 +59,23 @@ def test_ann_recall_and_scores(spark, monkeypatch, cell):
     assert hit / sum(map(len, want.values())) >= 0.9 and 5000 not in {r.vec_id for r in rows}
     assert all(s == pytest.approx(u[q] @ u[i], abs=1e-12) for (q, i), s in found.items())
     assert ann_search.search(df.limit(0)).count() == 0
+
+
+def test_products_beyond_doubles_are_exact(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(-(2**23), 2**23, size=(300, 3)) * 1.0 + rng.integers(0, 256, size=(300, 3)) / 256
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    y = [[int(np.floor(256 * v)) for v in row] for row in x]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for q in range(0, 300, 50):
+        order = sorted((-sum(a * b for a, b in zip(y[q], y[i], strict=True)), i) for i in range(300) if i != q)[:5]
+        got = [(-r.score, r.vec_id) for r in kd_search.top_k(df).where(f"query_id = {q}").orderBy("rank").collect()]
+        assert got == order
+
+
+def test_more_rows_get_more_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ann_search, "ROWS_A_PARTITION", 40)
+    seen, learn = [], ann_search.learn
+    monkeypatch.setattr(ann_search, "learn", lambda x, parts, k: (seen.append(parts), learn(x, parts, k=k))[1])
+    ann_search.search(table(spark)[0])
+    assert max(seen) == 30
