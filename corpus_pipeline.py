@@ -1,4 +1,12 @@
-"""The corpus pipeline: documents in, token ids out, in stages that are each written and read again."""
+"""The corpus pipeline: documents in, token ids out, in stages that are each written and read again.
+
+Null and empty texts have no evidence of toxicity, link with nothing, hold no passage and no words;
+they stay until the mix, which takes documents by their words and copies. Rows of null doc_id take no
+part in the joins and stay. Exact copies are one document, that of the smallest doc_id; repeated rows
+of one doc_id stay or go together. Extra columns, also of names that a stage uses for itself, pass
+through all stages; the last adds ``ids`` (in place of any of that name). An empty table gives an
+empty table, and texts may be of any length.
+"""
 
 from __future__ import annotations
 
