@@ -3,17 +3,20 @@
 Two sets link when PERCENT * union <= 100 * intersection. What is linked must share an n-gram among the
 rarest ``n - ceil(t n) + 1`` of each (the prefix, in one order for all). The steps:
 
-1. Every text gives its set's size and fingerprint, and counts of its n-grams go to a sketch of
-   ``1 << SKETCH_BITS`` counters. Rare-first is the order of these counters, then of the n-gram's
-   hash: any order is right, and frequent passages come last. Texts with the same set are one node.
+1. Every text gives its set's size, fingerprint and parity bits, and counts of its n-grams go to a
+   sketch of ``1 << SKETCH_BITS`` counters. Rare-first is the order of these counters, then of the
+   n-gram's hash: any order is right, and frequent passages come last. Texts with the same set are one
+   node.
 2. Prefix n-grams are dealt out once by n-gram; only those of two nodes or more stay, with the size of
    their block.
 3. In a block of at most ``SMALL`` nodes the pairs that pass the length and the positional filter are
-   candidates; each distinct pair is verified once, by suffix filter and then exactly.
-4. A larger block goes to one task (or, beyond ``BLOCK_GRAMS`` n-grams, is dealt into parts of which
-   every two meet in a task), which verifies inside and gives only the links that join what it hasn't
-   joined yet, so that groups of near copies make no quadratic output. A pair is verified in the block
-   of its first common prefix n-gram alone.
+   candidates. Parity bits rule out those that surely differ in too much, so that only the sets of the
+   others are fetched; each distinct pair is verified once, by suffix filter and then exactly.
+4. A larger block, without the nodes that pass the positional filter with none in it, goes to one task
+   (or, beyond ``BLOCK_GRAMS`` n-grams, is dealt into parts of which every two meet in a task), which
+   verifies inside and gives only the links that join what it hasn't joined yet, so that groups of near
+   copies make no quadratic output. A pair is verified in the block of its first common prefix n-gram
+   alone.
 5. Components are those of the links between nodes; a document's is the smallest doc_id among all
    documents of all nodes of its component.
 
@@ -75,6 +78,21 @@ def needed(n1, n2, percent: int):
     return -(-percent * (n1 + n2) // (100 + percent))
 
 
+def parity_bits(grams: np.ndarray) -> bytes:
+    """For each value of the low bits of a set's elements, whether an odd number of them has it; a power
+    of two of bits, one for each element or more."""
+    width = max(64, 1 << (len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """In how many elements two sets differ at least, by their parity bits: each element that only one
+    of them has turns one bit. The longer bits are folded to the other's length."""
+    x, y = sorted((np.frombuffer(v, dtype="<u8") for v in (a, b)), key=len)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
 def suffix_filter(a: np.ndarray, b: np.ndarray, allowed: int, depth: int = 3) -> bool:
     """False if sorted a and b surely differ in more than ``allowed`` elements: split both at a's
     median; what lies on one side of one can only meet what lies there of the other."""
@@ -187,26 +205,27 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     ship(spark)
     scratch = Scratch(spark, "jaccard-join")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
+    fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("bits", pa.binary()), ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         counts, part = np.zeros(1 << SKETCH_BITS, dtype=np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, bits = [], [], []
             for b in texts(batch.column(1)):
                 s = shingle_set(words(b)[2], n)
                 sizes.append(len(s))
                 nodes.append(_node(_hash(s), len(s)) if len(s) else None)
+                bits.append(parity_bits(s) if len(s) else None)
                 np.add.at(counts, _bucket(s), 1)
             none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=fields)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bits, pa.binary()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=fields)
         chunks = counts.clip(0, 2**32 - 1).astype("<u4").reshape(-1, 1 << CHUNK_BITS)
         some = [i for i, c in enumerate(chunks) if c.any()]
         for i in some:
-            yield pa.RecordBatch.from_pydict({"doc_id": [None], "n": [None], "node": [None], "part": [part], "chunk": [i], "counts": [_packed(chunks[i])]}, schema=fields)
+            yield pa.RecordBatch.from_pydict({"doc_id": [None], "n": [None], "node": [None], "bits": [None], "part": [part], "chunk": [i], "counts": [_packed(chunks[i])]}, schema=fields)
 
-    measured = scratch.keep(rows.mapInArrow(measure, "doc_id long, n long, node binary, part int, chunk int, counts binary"), "measured")
+    measured = scratch.keep(rows.mapInArrow(measure, "doc_id long, n long, node binary, bits binary, part int, chunk int, counts binary"), "measured")
     sketch = spark.sparkContext.broadcast(_sketch(measured, scratch))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +258,11 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     size = F.shiftright("np", 32).cast("int")
     named = F.concat(F.unhex(F.lpad(F.hex("h"), 16, "0")), F.unhex(F.lpad(F.hex(size), 8, "0")))
     shared = shared.select("token", named.alias("node"), size.alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
-    shared = scratch.keep(shared.withColumns({"nodes": F.count("*").over(block), "grams": F.sum("n").over(block)}), "shared")
-    small, large = shared.where(F.col("nodes") <= SMALL), shared.where(F.col("nodes") > SMALL)
+    shared = scratch.keep(shared.withColumns({"nodes": F.count("*").over(block), "grams": F.sum("n").over(block), "shortest": F.min("n").over(block)}), "shared")
+    # what passes the positional filter with no size that the block has and the length filter allows isn't dealt out
+    partner = F.expr(f"greatest(shortest, ceil(n * {percent} / 100D))")
+    may_pair = F.col("n") - F.col("place") >= F.ceil((F.col("n") + partner) * percent / F.lit(100.0 + percent))
+    small, large = shared.where(F.col("nodes") <= SMALL), shared.where((F.col("nodes") > SMALL) & may_pair)
     a, b = (small.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("node", "n", "place"))) for i in (1, 2))
     ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("node1") < F.col("node2")))
     long_enough = F.col("n1") * 100 >= F.col("n2") * percent
@@ -248,24 +270,44 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     positional = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= need
     pairs = scratch.keep(a.join(b, "token").where(ordered & long_enough & positional).select("node1", "node2").distinct(), "pairs")
 
+    # one document and the parity bits of all nodes that are candidates or in large blocks
+    met = pairs.select(F.col("node1").alias("w")).union(pairs.select("node2")).union(large.select("node")).distinct()
+    known = measured.where("node is not null and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "bits")).alias("least"))
+    known = known.join(met, F.col("node") == F.col("w"), "left_semi").select("node", F.col("least.doc_id").alias("one"), "least.bits")
+    known = scratch.keep(known, "known")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for u, v, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                n1, n2 = (int.from_bytes(w[8:], "big") for w in (u, v))
+                kept.append(least_difference(x, y) <= n1 + n2 - 2 * needed(n1, n2, percent))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    bits1, bits2 = (known.select(F.col("node").alias(f"node{i}"), F.col("bits").alias(f"bits{i}")) for i in (1, 2))
+    marked = pairs.join(bits1, "node1").join(bits2, "node2").select("node1", "node2", "bits1", "bits2")
+    pairs = scratch.keep(marked.mapInArrow(likely, "node1 binary, node2 binary"), "likely")
+
     # the sets of all nodes that are to be verified, each from one of its documents
-    wanted = pairs.select(F.col("node1").alias("w")).union(pairs.select("node2")).union(large.select("node")).distinct()
-    one = measured.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("one"))
-    one = scratch.keep(one.join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "one"), "one")
+    ends = pairs.select("node1").union(pairs.select("node2")).toDF("w").withColumn("large", F.lit(False))
+    wanted = ends.union(large.select("node", F.lit(True))).groupBy("w").agg(F.max(~F.col("large")).alias("in_pair"), F.max("large").alias("in_large"))
+    one = scratch.keep(known.join(wanted, F.col("node") == F.col("w")).select("node", "one", "in_pair", "in_large"), "one")
+    scratch.drop("pairs", "known")
     if one.count() <= SENT_ROWS:
         one = F.broadcast(one)
 
     def regain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for node, b in zip(batch.column(1).to_pylist(), texts(batch.column(0)), strict=True):
+            for at, (node, b) in enumerate(zip(batch.column(1).to_pylist(), texts(batch.column(0)), strict=True)):
                 s = shingle_set(words(b)[2], n)
                 if _node(_hash(s), len(s)) == node:
-                    kept.append((node, s.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([s for _, s in kept], pa.list_(pa.int64()))], names=["node", "grams"])
+                    kept.append((node, s.view(np.int64), at))
+            rest = [batch.column(i).take(pa.array([k for *_, k in kept], pa.int64())) for i in (2, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, *_ in kept], pa.binary()), pa.array([s for _, s, _ in kept], pa.list_(pa.int64())), *rest], names=["node", "grams", "in_pair", "in_large"])
 
-    texts_of = rows.join(one, F.col("doc_id") == F.col("one")).select("text", "node")
-    sets = scratch.keep(texts_of.mapInArrow(regain, "node binary, grams array<long>"), "found-sets")
+    texts_of = rows.join(one, F.col("doc_id") == F.col("one")).select("text", "node", "in_pair", "in_large")
+    sets = scratch.keep(texts_of.mapInArrow(regain, "node binary, grams array<long>, in_pair boolean, in_large boolean"), "found-sets")
     if sets.groupBy("node").count().where("count > 1").limit(1).count():  # a doc_id came more than once with one text
         sets = scratch.keep(sets.dropDuplicates(["node"]), "sets")
 
@@ -274,17 +316,18 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
             one, two = ([np.array(g.values, dtype=np.int64).view(np.uint64) for g in batch.column(i)] for i in (2, 3))
             yield batch.select([0, 1]).filter(pa.array([links(x, y, percent) for x, y in zip(one, two, strict=True)], pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("node").alias("node1"), F.col("grams").alias("grams1")), "node1").join(sets.select(F.col("node").alias("node2"), F.col("grams").alias("grams2")), "node2")
+    sets1, sets2 = (sets.where("in_pair").select(F.col("node").alias(f"node{i}"), F.col("grams").alias(f"grams{i}")) for i in (1, 2))
+    both = pairs.join(sets1, "node1").join(sets2, "node2")
     found = scratch.keep(both.select(F.col("node1").alias("u"), F.col("node2").alias("v"), "grams1", "grams2").mapInArrow(verify, "u binary, v binary"), "found")
     if large.limit(1).count():
         dealt = large.withColumn("parts", F.greatest(F.ceil(F.col("grams") / F.lit(BLOCK_GRAMS)), F.lit(1)).cast("int")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         meets = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         dealt = dealt.select("token", "node", "mine", meets.alias("other"))
         dealt = dealt.select("token", "node", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"))
-        within = dealt.join(sets, "node").groupBy("token", "p", "q").applyInArrow(_block_links(sketch, percent), "u binary, v binary")
+        within = dealt.join(sets.where("in_large").select("node", "grams"), "node").groupBy("token", "p", "q").applyInArrow(_block_links(sketch, percent), "u binary, v binary")
         found = found.union(scratch.keep(within, "within"))
     roots = scratch.keep(components(found, scratch), "roots")
-    scratch.drop("shared", "one", "pairs", "found-sets", "sets", "found", "within")
+    scratch.drop("shared", "one", "likely", "found-sets", "sets", "found", "within")
 
     documents = measured.where("chunk is null").select("doc_id", "n", "node")
     least = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
