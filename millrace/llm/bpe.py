@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from .tables import held
+from .tables import held, trim
 from .units import BLOCK, Units, gather
 from .words import slices
 
@@ -158,7 +158,9 @@ def encode_documents(docs: DataFrame, vocab: str, text: str = "text", ids: str =
         for column in columns:
             got, counts = zip(*(bpe.encode_all(part) for part in slices(column)), strict=True) if len(column) else ((), ())
             offsets = np.concatenate(([0], *counts)).cumsum().astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got).astype(np.int32) if got else np.empty(0, np.int32)))
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got).view(np.int32) if got else np.empty(0, np.int32)))
+            got = counts = ()
+            trim()
 
     encoded = F.arrow_udf(run, ArrayType(IntegerType()))
     rest = docs.drop(ids)

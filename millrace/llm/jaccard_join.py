@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Scratch, apart, let_go, ship
+from .tables import Scratch, apart, frugal, ship
 from .words import shingle_set, texts, words
 
 SKETCH_BITS, CHUNK_BITS, SMALL, BLOCK_GRAMS = 20, 14, 64, 150_000
@@ -207,8 +207,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("bits", pa.binary()), ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
+    @frugal
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         counts, part = np.zeros(1 << SKETCH_BITS, dtype=np.int64), TaskContext.get().partitionId()
         for batch in batches:
             sizes, nodes, bits = [], [], []
@@ -228,8 +228,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     measured = scratch.keep(rows.mapInArrow(measure, "doc_id long, n long, node binary, bits binary, part int, chunk int, counts binary"), "measured")
     sketch = spark.sparkContext.broadcast(_sketch(measured, scratch))
 
+    @frugal
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         done: set[int] = set()
         for batch in batches:
             got: tuple[list, list, list] = ([], [], [])
@@ -276,6 +276,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     known = known.join(met, F.col("node") == F.col("w"), "left_semi").select("node", F.col("least.doc_id").alias("one"), "least.bits")
     known = scratch.keep(known, "known")
 
+    @frugal
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -296,6 +297,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     if one.count() <= SENT_ROWS:
         one = F.broadcast(one)
 
+    @frugal
     def regain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -311,6 +313,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id",
     if sets.groupBy("node").count().where("count > 1").limit(1).count():  # a doc_id came more than once with one text
         sets = scratch.keep(sets.dropDuplicates(["node"]), "sets")
 
+    @frugal
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = ([np.array(g.values, dtype=np.int64).view(np.uint64) for g in batch.column(i)] for i in (2, 3))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from .tables import Scratch, apart
+from .tables import Scratch, apart, frugal
 
 CAP, WEIGHTS, FRACTION = 3, 3, 26
 _WHITE = " \\t\\n\\x0B\\f\\r"
@@ -66,6 +66,7 @@ def targets(sizes: DataFrame) -> DataFrame:
     return w.select("source", "source_size", F.col("weight").cast("int").alias("weight"), target.alias("target"))
 
 
+@frugal
 def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the partition and each row's place (from 1) among its source's rows; rows come sorted."""
     part, source, seen = TaskContext.get().partitionId(), object(), 0

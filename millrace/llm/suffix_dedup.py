@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .tables import Scratch, apart, let_go, ship
+from .tables import Scratch, apart, frugal, ship
 from .words import gram_hashes, mixed, texts, words
 
 LEAST, GRAM = 50, 12
@@ -173,6 +173,7 @@ def _matches(table: pa.Table, part: int) -> pa.RecordBatch:
     return pa.concat_tables(parts).combine_chunks()
 
 
+@frugal
 def _sorted_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     got = [b for b in batches if b.num_rows]
     if got:
@@ -210,8 +211,8 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
 
+    @frugal
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], [], []]
             for doc, b in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
@@ -236,8 +237,8 @@ def _spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     wanted = classes.join(several, F.col("kg") == F.col("of"), "left_semi")
     lists = wanted.groupBy("first").agg(F.collect_list(F.struct("kg", "ctx", "last")).alias("wanted"))
 
+    @frugal
     def regain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, b, w in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2), strict=True):
@@ -292,6 +293,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     n_later, how many of these words an earlier document has as part of a repeated passage."""
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -334,6 +336,7 @@ def _cut(docs: DataFrame) -> DataFrame:
         keep.append(bytes(b[at:]))
         return b"".join(keep).decode("utf-8", "replace")
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             arrays, stays = list(batch.columns[: len(columns)]), np.ones(batch.num_rows, dtype=bool)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .tables import Scratch, let_go, ship
+from .tables import Scratch, frugal, let_go, ship, trim
 from .units import gather
 from .words import mixed, prefixes, slices, words
 
@@ -226,6 +226,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
+@frugal
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         got = [w.packed().view(np.int64) for part in slices(batch.column(0)) for w in map(Words, part)]
@@ -248,13 +249,15 @@ class _Pairs:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
         """Pairs in the order of their words, and each word once; nothing is left here."""
-        word, left = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
         kinds = [np.concatenate([k[i] for k in self.kinds]) for i in range(3)]
+        self.kinds = []
+        _, first = np.unique(kinds[0], return_index=True)
+        kinds = tuple(k[first] for k in kinds)
+        word, left = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
         self.__init__()
         _, at = np.unique(mixed(word) + left, return_index=True)
         at = at[np.argsort(word[at], kind="stable")]
-        _, first = np.unique(kinds[0], return_index=True)
-        return word[at], left[at], tuple(k[first] for k in kinds)
+        return word[at], left[at], kinds
 
 
 def _packed_pairs(word: np.ndarray, left: np.ndarray, kinds: tuple[np.ndarray, ...], buckets: int) -> Iterator[tuple[int, bytes]]:
@@ -295,8 +298,8 @@ def corpus_counts(docs: DataFrame, scratch: Scratch, hot: np.ndarray | None = No
         keys, data = zip(*_packed_pairs(*got.distinct(), buckets), strict=True)
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["bucket", "pairs"])
 
+    @frugal
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         got = _Pairs()
         for batch in batches:
             for part in slices(batch.column(0)):
@@ -312,6 +315,7 @@ def corpus_counts(docs: DataFrame, scratch: Scratch, hot: np.ndarray | None = No
                     got.add(word[at], left[at].astype(np.uint32), (word[one], six[one], four[one]))
                 if got.size > PAIRS:
                     yield rows(got)
+                    trim()
         if got.size:
             yield rows(got)
 
@@ -322,9 +326,9 @@ def corpus_counts(docs: DataFrame, scratch: Scratch, hot: np.ndarray | None = No
         own = np.where(is_hot, shared.value[at], own) if len(shared.value) else own
         return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (own, six, four)), pa.array(n, pa.int64()), pa.array(is_hot, pa.bool_())], names=["word", "six", "four", "n", "hot"])
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket; several buckets are counted together."""
-        let_go()
         got, last, apart = _Pairs(), None, 0
         for batch in batches:
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -353,6 +357,7 @@ def known_counts(corpus: DataFrame, tables: list[np.ndarray]) -> list[np.ndarray
     counts = []
     for level, name in enumerate(("word", "six", "four")):
 
+        @frugal
         def known(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 there = _lookup(shared.value[level], np.array(batch.column(0), dtype=np.int64).view(np.uint64))[1]
@@ -422,9 +427,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(model.compact())
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         m = shared.value
         for column in columns:
             yield pa.array(np.concatenate([np.empty(0), *(m.score(Words(*part)) for part in slices(column))]))
+            trim()
 
     return rest.withColumn("score", F.arrow_udf(run, DoubleType())(F.col("text").cast("string")))
 
