@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from itertools import accumulate, groupby
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from ..config import Config
 from ..sources.store import BASE_EVERY, Store
 
 SMALL_BYTES, LEAST_FILES, KEEP_HOURS, KEEP_LAST = 128 << 20, 3, 24, 5
+#: What one task of a de-duplication sorts: bytes of files or rows, whichever are sooner reached.
+DEAL_BYTES, DEAL_ROWS = 16 << 20, 1 << 20
 
 
 def last_wins(df: DataFrame, pk: list[str], *order: str) -> DataFrame:
@@ -35,18 +38,26 @@ def expired(snapshots: DataFrame, now_ms, hours: int = KEEP_HOURS, keep: int = K
 
 
 def deduplicate(store: Store) -> int | None:
-    """Rewrite the table with one row a key: the one of the highest commit, in it the last one written."""
+    """Rewrite the table with one row a key: the one of the highest commit, in it the last one written.
+    Rows are dealt out evenly before they are combined, so that no task sorts what a whole file, or a hot
+    key, has."""
 
     def plan():
-        new = store._write(last_wins(store._rows(), store.pk, "__seq", "__file", "__row").select(*store.schema.names), "data")
-        return [(new, "data")], [a["folder"] for a in store.live()]
+        live = store.live()
+        data = [a for a in live if a["kind"] == "data"]
+        found = sorted((a["seq"], f, n) for a in data for f, n in store._files(a["folder"]) if f not in a.get("without", ()))
+        tasks = max(store.spark.sparkContext.defaultParallelism, -(-sum(n for *_, n in found) // DEAL_BYTES), -(-sum(a.get("rows") or 0 for a in data) // DEAL_ROWS))
+        rows = store._rows(numbers={f: i for i, (_, f, _) in enumerate(found)}).select(*store.schema.names, "__nr", "__row")
+        new = store._write(last_wins(rows.repartition(tasks, "__nr", "__row"), store.pk, "__nr", "__row").select(*store.schema.names), "data")
+        return [(new, "data")], [a["folder"] for a in live]
 
     return store.commit("replace", plan)
 
 
 def merge_small(store: Store, below: int = SMALL_BYTES, least: int = LEAST_FILES) -> int | None:
-    """Merge the small files, their rows alone, with deletes applied, into files of about ``below`` bytes.
-    Equality deletes that then precede all live data are dropped."""
+    """Merge the small files, their rows alone, with deletes applied, into files of about ``below`` bytes,
+    each of one partition and of neighbours by commit. They are read by as many tasks as they ask for; a task that
+    writes a file only passes its rows on. Equality deletes that then precede all live data are dropped."""
     found = small_files(store.files().withColumn("table", F.lit("")), below, least).select("path", "size").collect()  # one row a small file
     if not found:
         return None
@@ -54,10 +65,17 @@ def merge_small(store: Store, below: int = SMALL_BYTES, least: int = LEAST_FILES
 
     def plan():
         live = store.live()
-        there = {f for a in live if a["kind"] == "data" for f, _ in store._files(a["folder"]) if f not in a.get("without", ())}
-        some = sorted(there & {*size})
-        rows = store._rows(files=some).select(*store.schema.names)
-        new = store._write(rows, "data", files=max(1, sum(size[f] for f in some) // below))
+        there = {f: (f.split("/")[2:-1], a["seq"], f) for a in live if a["kind"] == "data" for f, _ in store._files(a["folder"]) if f not in a.get("without", ())}
+        some = sorted(there.keys() & size.keys(), key=there.get)
+        numbers, merged = {}, 0
+        for _, group in groupby(some, key=lambda f: there[f][0]):  # a task writes rows of one partition
+            own = list(group)
+            total = sum(size[f] for f in own)
+            into = max(1, total // below)
+            numbers |= {f: merged + before * into // total for f, before in zip(own, accumulate((size[f] for f in own), initial=0))}
+            merged += into
+        rows = store._rows(files=some, numbers=numbers).repartitionById(max(1, merged), "__nr")
+        new = store._write(rows.select(*store.schema.names), "data")
         left = [a["seq"] for a in live if a["kind"] == "data" and any(f not in size for f, _ in store._files(a["folder"]) if f not in a.get("without", ()))]
         return [(new, "data")], some + [a["folder"] for a in live if a["kind"] == "delete" and a["seq"] <= min(left, default=a["seq"])]
 

@@ -172,10 +172,9 @@ class Store:
                 self._create_file(f"log/{s[-1].version:012d}.base.json", json.dumps({**s[-1].__dict__, "added": self.live(s[-1].version), "removed": []}))
 
     # -- writing
-    def _write(self, df: DataFrame, kind: str, full_load: bool = False, files: int | None = None) -> str:
+    def _write(self, df: DataFrame, kind: str, full_load: bool = False) -> str:
         folder = f"{kind}/{uuid.uuid4().hex}"
         partition = self.meta()["partition"]
-        df = df.coalesce(files) if files else df
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if partition and kind == "data" and partition in df.columns:
@@ -280,12 +279,22 @@ class Store:
         live = [a for a in self.live(version) if a["kind"] == "data"]
         return self._tagged(live, self.schema, "__seq", None if files is None else [f"{self.path}/{f}" for f in files])
 
-    def _rows(self, version: int | None = None, files: list[str] | None = None) -> DataFrame:
-        """Rows after equality deletes, with folder, file, place and seq. Deletes that no live data folder
-        comes before can't hit a row and aren't read."""
+    def _numbered(self, data: DataFrame, numbers: dict[str, int]) -> DataFrame:
+        """Raw rows with their file's number ``__nr`` in place of the names of folder and file, which are
+        most of a row's bytes where it is sorted or sent."""
+        uri = lambda f: self._Path(f).toUri().toString()  # noqa: E731  as _metadata.file_path has it
+        of = self.spark.createDataFrame([(uri(f), n) for f, n in numbers.items()], "__of string, __nr int")
+        of = F.broadcast(of) if len(numbers) <= BROADCAST_FOLDERS else of
+        number = F.coalesce("__nr", F.raise_error(F.concat(F.lit("a file without a number: "), "__file")).cast("int"))
+        return data.join(of, F.col("__file") == F.col("__of"), "left").withColumn("__nr", number).drop("__of", "__file", "__folder")
+
+    def _rows(self, version: int | None = None, files: list[str] | None = None, numbers: dict[str, int] | None = None) -> DataFrame:
+        """Rows after equality deletes, with folder, file (or its number), place and seq. Deletes that no
+        live data folder comes before can't hit a row and aren't read."""
         live = self.live(version)
         oldest = min((a["seq"] for a in live if a["kind"] == "data"), default=0)
         data, gone = self._data(version, files), [a for a in live if a["kind"] == "delete" and a["seq"] > oldest]
+        data = data if numbers is None else self._numbered(data, numbers)
         if not gone:
             return data
         keys = self._tagged(gone, StructType([f for f in self.schema if f.name in self.pk]), "__gone")

@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.config import Config
@@ -81,6 +82,48 @@ def test_maintenance_keeps_the_rows(spark, store):
     assert gone == [1, 2, 3, 4, 5] and rows(store) == now
 
 
+def test_a_task_of_compaction_has_a_share_of_a_file_or_hot_key(spark, store, monkeypatch):
+    hot = spark.range(6000).selectExpr("if(id % 2 = 0, 0, id) as id", "concat('v', id) as v").coalesce(1)
+    store.append(hot)
+    monkeypatch.setattr(maintain, "DEAL_ROWS", 500, raising=False)
+    given, real = [], maintain.last_wins
+    monkeypatch.setattr(maintain, "last_wins", lambda df, *a: given.append(df) or real(df, *a))
+    maintain.deduplicate(store)
+    shares = [r["count"] for r in given[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 6000 and max(shares) < 1000 and "__file" not in given[0].columns
+    assert rows(store)[0] == (0, "v5998") and len(rows(store)) == 3001
+
+
+def test_a_merge_reads_side_by_side(spark, store, monkeypatch):
+    for i in range(8):
+        store.append(frame(spark, (i, "a"), (i + 100, "b")))
+    store.row_delta(frame(spark, (0, "new")), frame(spark, (0, None)))
+    before, plans, real = rows(store), [], store._write
+    monkeypatch.setattr(store, "_write", lambda df, *a, **k: plans.append((df.coalesce(k["files"]) if k.get("files") else df)._jdf.queryExecution().executedPlan().toString()) or real(df, *a, **k))
+    maintain.merge_small(store)
+    assert rows(store) == before and store.files().count() == 1
+    assert "Coalesce" not in plans[0] and "REPARTITION_BY_NUM" in plans[0]
+
+
+def test_merge_and_deduplication_find_files_of_odd_names(spark, tmp_path):
+    odd = ["a b", "x:y%", "é+", "%20", None]
+    s = Store(spark, str(tmp_path / "odd"))
+    s.create(SCHEMA, ["id"], "v")
+    for i in range(4):
+        s.append(frame(spark, *[(10 * i + k, v) for k, v in enumerate(odd)]))
+    s.append(frame(spark, (0, "later")))
+    before = rows_of(s)
+    maintain.merge_small(s, below=sum(r["size"] for r in s.files().collect()) // 3)
+    assert rows_of(s) == before and s.files().count() == 6  # one a value
+    s.append(frame(spark, (0, "last")))
+    maintain.deduplicate(s)
+    assert len(rows_of(s)) == 20 and ("0", "last") in rows_of(s)
+
+
+def rows_of(store):
+    return sorted((str(r.id), str(r.v)) for r in store.read().collect())
+
+
 def test_partitions(spark, tmp_path):
     s = Store(spark, str(tmp_path / "p"))
     s.create(SCHEMA, ["id"], "v")
